@@ -1,0 +1,55 @@
+"""The corpus pipeline: toxicity, exact copies, near copies, source mix, packing."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from millwright.llm import exact_dedup, mixing, ngram_join, packing, toxicity
+from millwright.llm.common import scratch_path, table
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score below one half, by a model fitted on the labels that apply to them."""
+    return toxicity.clean_documents(docs, table(spark, sf_dir, "labels"))
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents with equal texts the one with the smallest doc_id."""
+    return exact_dedup.deduplicated(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by similar shingles the one with the smallest doc_id."""
+    return ngram_join.one_per_component(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often, and as far, as the mix of sources takes them."""
+    return mixing.mixed_documents(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of token sequences; ids are replaced by their CRC-32."""
+    return packing.digest(packing.pack(docs))
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("exact dedup", drop_copies),
+    ("near dedup", drop_near_copies),
+    ("source mix", mix_sources),
+    ("packing", pack),
+]
+
+#: The toxicity model and the tokenizer are beyond SQL; tests hold the stages against brute force.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each written to the shared folder and read again."""
+    docs = table(spark, sf_dir, "documents")
+    for k, (_, stage) in enumerate(STAGES):
+        path = scratch_path(spark, f"stage{k}")
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return docs

@@ -290,6 +290,17 @@ def shingle_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     return linked.union(alone)
 
 
+def one_per_component(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs`` that stay when each component keeps its smallest doc_id, with all columns.
+
+    Rows without a doc_id or without words stay. Rows that repeat the kept doc_id
+    all stay; exact copies are another operator's work.
+    """
+    found = shingle_components(docs, words, percent)
+    gone = found.filter("component_id != doc_id").select(F.col("doc_id").alias("gone_id")).distinct()
+    return docs.join(gone, docs["doc_id"].cast("long") == gone["gone_id"], "left_anti")
+
+
 def set_components(texts: DataFrame, owners: DataFrame, sketch, words: int, percent: int) -> DataFrame:
     """Components (node, component) of the sets that link with another; nodes also name groups."""
     made = materialise(texts.mapInArrow(_group(words, percent, sketch), "kind byte, a long, b long"), "matrix")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, ngram_join, packing, token_files, toxicity, vector_dedup, warc
+from . import exact_dedup, html_extract, mixing, ngram_join, packing, quality, token_files, toxicity, vector_dedup, warc
 from .common import table
 
 
@@ -14,6 +14,14 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(packing.pack(table(spark, sf_dir, "documents")))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"))
+
+
+def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.main_texts(table(spark, sf_dir, "pages"))
+
+
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -121,11 +129,17 @@ FROM embeddings LEFT JOIN d ON d.a = vec_id LEFT JOIN m ON m.a = vec_id
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    import corpus_pipeline
+
+    operators = {
         f.__name__: f
-        for f in (op1_packing, op4_source_mix, op5_toxicity, op6_exact_dedup, op7_token_files, op8_warc_archives, op9_ngram_join, op10_vector_dedup)
+        for f in (op1_packing, op2_quality, op3_main_text, op4_source_mix, op5_toxicity, op6_exact_dedup, op7_token_files, op8_warc_archives, op9_ngram_join, op10_vector_dedup)
     }
+    return operators | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_source_mix": OP4_SQL, "op6_exact_dedup": OP6_SQL, "op8_warc_archives": OP8_SQL, "op9_ngram_join": OP9_SQL, "op10_vector_dedup": OP10_SQL}
+    import corpus_pipeline
+
+    whole = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return whole | {"op4_source_mix": OP4_SQL, "op6_exact_dedup": OP6_SQL, "op8_warc_archives": OP8_SQL, "op9_ngram_join": OP9_SQL, "op10_vector_dedup": OP10_SQL}
