@@ -10,7 +10,8 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections import Counter, defaultdict
+import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -23,7 +24,7 @@ from pyspark.sql import types as T
 from .tokens import text_slices
 
 #: At most about this many labelled rows are fitted on, none of them longer than this many characters.
-SAMPLE_ROWS, SAMPLE_CHARS = 12_000, 20_000
+SAMPLE_ROWS, SAMPLE_CHARS = 8_000, 20_000
 TREES, DEPTH, RATE, BINS, LEAF = 60, 3, 0.2, 48, 5
 
 #: Words of insult in four languages, and the second person in them.
@@ -42,8 +43,8 @@ STAND_INS = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7"
 _LETTERS = re.compile(r"[^\W\d_]+")
 _MASKED = re.compile(r"[^\W\d_][*#%]+[^\W\d_]")
 _STRETCHED = re.compile(r"(.)\1{2,}")
-LEX, LEARNT, PERSON, CAPS, HIDDEN, MASKED, STRETCHED = (1 << i for i in range(7))
-FEATURES = ("lexicon", "lexicon_count", "learnt", "learnt_count", "learnt_kinds", "densest", "person", "near_person", "capitals", "capital_letters", "exclaim", "question", "punctuation", "hidden", "masked", "stretched", "digits", "log_words")
+LEX, LEARNT, PERSON, CAPS, HIDDEN, MASKED, STRETCHED, MOSTLY, OFTEN = (1 << i for i in range(9))
+FEATURES = ("lexicon", "lexicon_count", "learnt", "learnt_count", "learnt_kinds", "mostly", "mostly_count", "often", "often_count", "densest", "person", "near_person", "capitals", "capital_letters", "exclaim", "question", "punctuation", "hidden", "masked", "stretched", "digits", "log_words")
 
 
 def units(word: str) -> list[str]:
@@ -51,46 +52,63 @@ def units(word: str) -> list[str]:
     return ["=" + word, *[word[:k] for k in (4, 5, 6) if len(word) >= k]]
 
 
-def induce_lexicon(texts: list[str], toxic: np.ndarray, least: int = 6, purity: float = 0.97) -> frozenset[str]:
-    """Units that mark toxic texts, found by greedy cover.
+def _words(text: str) -> set[str]:
+    return {w for t in set(text.lower().split()) for w in _LETTERS.findall(t)}
 
-    A unit qualifies if it stands in at least ``least`` toxic texts and all but
-    1 - ``purity`` of the texts that hold it are toxic. The unit that explains most
-    texts not explained so far is taken, until none explains ``least``; so units
-    that merely share copied texts with a true marker are never taken.
+
+def unlike(word_sets: list[set[str]], triples: int = 8) -> list[int]:
+    """Which texts remain when those that share a triple of minimum hashes with an earlier one go.
+
+    Copies with small changes share words that have nothing to do with their label.
+    """
+    rng = np.random.default_rng(11)
+    factors = rng.integers(1, 1 << 62, 3 * triples, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+    seen, kept = set(), []
+    for i, words in enumerate(word_sets):
+        if not words:
+            continue
+        base = np.fromiter((zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in words), np.uint64, len(words))
+        low = np.array([((base * f) >> np.uint64(20)).min() for f in factors])
+        keys = {(k, *low[3 * k : 3 * k + 3].tolist()) for k in range(triples)}
+        if not keys & seen:
+            kept.append(i)
+        seen |= keys
+    return kept
+
+
+def induce_lexicon(texts: list[str], toxic: np.ndarray, least: int = 5) -> dict[str, int]:
+    """Units that mark toxic texts: 3 for almost always, 2 for mostly, 1 for often.
+
+    Counted are texts, toxic or not, that hold a unit, copies left out. A unit must
+    stand in ``least`` toxic texts, in twice as many to count as often or mostly.
     """
-    per_text = [{w for t in set(text.lower().split()) for w in _LETTERS.findall(t)} for text in texts]
-    positive = Counter(u for words, y in zip(per_text, toxic, strict=True) if y for u in {u for w in words for u in units(w)})
+    sets = [_words(t) for t in texts]
+    keep = unlike(sets)
+    positive = Counter(u for i in keep if toxic[i] for u in {u for w in sets[i] for u in units(w)})
     wanted = {u for u, n in positive.items() if n >= least}
-    negative = Counter(u for words, y in zip(per_text, toxic, strict=True) if not y for u in {u for w in words for u in units(w) if u in wanted})
-    pure = {u for u in wanted if positive[u] >= purity * (positive[u] + negative[u])}
-    holders = defaultdict(set)
-    for i, (words, y) in enumerate(zip(per_text, toxic, strict=True)):
-        if y:
-            for u in {u for w in words for u in units(w)} & pure:
-                holders[u].add(i)
-    chosen, open_units = set(), dict(holders)
-    while open_units:
-        best = max(open_units, key=lambda u: (len(open_units[u]), -len(u), u))
-        if len(open_units[best]) < least:
-            break
-        done = set(open_units.pop(best))
-        chosen.add(best)
-        open_units = {u: left for u, s in open_units.items() if len(left := s - done) >= least}
-    return frozenset(chosen)
+    negative = Counter(u for i in keep if not toxic[i] for u in {u for w in sets[i] for u in units(w) if u in wanted})
+    out = {}
+    for u in wanted:
+        share = positive[u] / (positive[u] + negative[u])
+        if share >= 0.97:
+            out[u] = 3
+        elif positive[u] >= 2 * least and share >= 0.5:
+            out[u] = 2 if share >= 0.75 else 1
+    return out
 
 
 class Featurizer:
     """Texts to rows of ``FEATURES``."""
 
-    def __init__(self, learnt: frozenset[str] = frozenset(), cache_entries: int = 300_000) -> None:
-        self.learnt = learnt
+    def __init__(self, learnt: dict[str, int] | None = None, cache_entries: int = 300_000) -> None:
+        self.learnt = learnt or {}
         self._flags: dict[str, int] = {}
         self._most = cache_entries
 
     def _plain(self, word: str) -> int:
         out = LEX * (word in LEXICON) | PERSON * (word in SECOND_PERSON)
-        return out | LEARNT * any(u in self.learnt for u in units(word))
+        strength = max((self.learnt.get(u, 0) for u in units(word)), default=0)
+        return out | (0, OFTEN, MOSTLY, LEARNT)[strength]
 
     def flags(self, token: str) -> int:
         low, out = token.lower(), 0
@@ -137,7 +155,7 @@ class Featurizer:
         upper = sum(map(text.count, "ABCDEFGHIJKLMNOPQRSTUVWXYZ"))
         marks_of = sum(map(text.count, "*#%&$@~^"))
         return [
-            1000 * count(LEX) / words, count(LEX), 1000 * count(LEARNT) / words, count(LEARNT), kinds, densest, 1000 * count(PERSON) / words, near,
+            1000 * count(LEX) / words, count(LEX), 1000 * count(LEARNT) / words, count(LEARNT), kinds, 1000 * count(MOSTLY) / words, count(MOSTLY), 1000 * count(OFTEN) / words, count(OFTEN), densest, 1000 * count(PERSON) / words, near,
             1000 * count(CAPS) / words, 1000 * upper / chars, 1000 * text.count("!") / chars, 1000 * text.count("?") / chars, 1000 * marks_of / chars,
             1000 * count(HIDDEN) / words, 1000 * count(MASKED) / words, 1000 * count(STRETCHED) / words, 1000 * sum(map(text.count, "0123456789")) / chars, float(np.log1p(n)),
         ]
@@ -237,7 +255,7 @@ def isotonic(margin: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 @dataclass
 class Model:
-    learnt: frozenset[str]
+    learnt: dict[str, int]
     trees: Boosted
     knots: tuple[np.ndarray, np.ndarray]
 
