@@ -269,14 +269,14 @@ class Model:
 
 
 def fit(texts: list[str], toxic: np.ndarray) -> Model:
-    """A model from labelled texts: three quarters grow trees, one quarter calibrates.
+    """A model from labelled texts: by a hash of the text three quarters grow trees, one calibrates.
 
     The lexicon for the trees' own rows comes from the other half of them, so that
     trees see it as it acts on new texts. With no rows, or one class, the score is
     the smoothed share of toxic rows.
     """
     y = np.asarray(toxic, float)
-    quarter = np.arange(len(texts)) % 4
+    quarter = np.array([zlib.crc32(t.encode("utf-8", "surrogatepass")) >> 8 & 3 for t in texts], np.int64)
     x = np.zeros((len(texts), len(FEATURES)))
     for part, source in (((0,), (1, 2)), ((1, 2), (0,)), ((3,), (0, 1, 2))):
         rows, other = np.flatnonzero(np.isin(quarter, part)), np.flatnonzero(np.isin(quarter, source))
