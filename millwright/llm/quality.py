@@ -223,7 +223,7 @@ def quality(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, sample_chars: int =
     share = min(1.0, sample_rows / max(int(n.sum()), 1))
     text = F.coalesce("text", F.lit(""))
     chosen = docs.select(text.alias("text")).filter((F.length("text") <= sample_chars) & (F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(share * (1 << 20))))
-    texts = sorted(r[0] for r in chosen.toLocalIterator())
+    texts = sorted(chosen.toPandas().text.tolist())
     hashed, rows, soft = Hashed(), [], []
     for t in texts:
         m = measures(t)
