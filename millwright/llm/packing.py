@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .tokens import Encoder, text_slices
+from .tokens import encoder, text_slices
 
 WINDOW = 2048
 POOL_PIECES = 4096
@@ -154,7 +154,7 @@ def pack(docs: DataFrame, window: int = WINDOW, vocabulary: str | None = None, e
         from pyspark import TaskContext
         from pyspark.sql.pandas.types import to_arrow_schema
 
-        encode, out_schema = Encoder(path, leading=False), to_arrow_schema(schema)
+        encode, out_schema = encoder(path, leading=False), to_arrow_schema(schema)
         end = np.array([end_id], "<u4").tobytes()
         waiting: dict[int, list] = {}  # documents with ids that no window holds yet: [doc_id, tokens, ids left, ids]
 

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import materialise, scratch_path
-from .tokens import Encoder, text_slices
+from .tokens import encoder, text_slices
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 0
@@ -173,7 +173,7 @@ def write_tokens(docs: DataFrame, folder: str, vocabulary: str | None = None, en
         from pyspark import TaskContext
         from pyspark.sql.pandas.types import to_arrow_type
 
-        part, encode, out = TaskContext.get().partitionId(), Encoder(path, leading=True, width=width), None
+        part, encode, out = TaskContext.get().partitionId(), encoder(path, leading=True, width=width), None
         end, uri = np.array([end_id], f"<u{width}").tobytes(), f"{folder}/part-{part:06d}.arrows"
         for ids, texts in text_slices(batches):
             out = out or Writer(uri, length, rows, width, to_arrow_type(id_type))

@@ -10,8 +10,8 @@ from __future__ import annotations
 
 import os
 import re
-
-import numpy as np
+import sys
+from array import array
 
 #: The characters with the Unicode property White_Space.
 _WS = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -24,39 +24,62 @@ class Encoder:
     units carry it; without it white space is dropped, for those that drop it.
     """
 
-    def __init__(self, path: str, leading: bool, width: int = 4, cache_entries: int = 300_000) -> None:
+    def __init__(self, path: str, leading: bool, width: int = 4, cache_entries: int = 1_500_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
         self._cache: dict[str, bytes] = {}
-        self._most = cache_entries
-        self._kind = f"<u{width}"
+        self._most, self._missed = cache_entries, 0
+        self._kind = {2: "H", 4: "I"}[width]
         self._split = re.compile(rf"[{_WS}]*[^{_WS}]+|[{_WS}]+" if leading else rf"[^{_WS}]+").findall
         added = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
         self._added = re.compile("|".join(map(re.escape, added))).search if added else lambda _: None
         self._many = getattr(self._tokenizer, "encode_batch_fast", self._tokenizer.encode_batch)
 
     def _pack(self, ids: list[int]) -> bytes:
-        return np.array(ids, self._kind).tobytes()
+        packed = array(self._kind, ids)
+        if sys.byteorder == "big":
+            packed.byteswap()
+        return packed.tobytes()
 
     def whole(self, text: str) -> bytes:
         return self._pack(self._tokenizer.encode(text, add_special_tokens=False).ids)
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text; null counts as empty."""
+        """Ids of each text; null counts as empty.
+
+        Frequent chunks come early, so a full cache keeps what it has and new
+        chunks stay for one call. If misses keep coming it starts afresh.
+        """
         cache = self._cache
-        if len(cache) > self._most:
-            cache.clear()
         chunks = [None if self._added(t) else self._split(t) for t in (x or "" for x in texts)]
-        new = {c for row in chunks if row is not None for c in row if c not in cache}
-        if new:
-            todo = list(new)
-            for lo in range(0, len(todo), 20_000):
-                part = todo[lo : lo + 20_000]
-                for chunk, e in zip(part, self._many(part, add_special_tokens=False), strict=True):
-                    cache[chunk] = self._pack(e.ids)
-        return [self.whole(t) if row is None else b"".join([cache[c] for c in row]) for t, row in zip(texts, chunks, strict=True)]
+        new = list(set().union(*[row for row in chunks if row is not None]).difference(cache))
+        full = len(cache) >= self._most
+        for lo in range(0, len(new), 20_000):
+            part = new[lo : lo + 20_000]
+            for chunk, e in zip(part, self._many(part, add_special_tokens=False), strict=True):
+                cache[chunk] = self._pack(e.ids)
+        out = [self.whole(t) if row is None else b"".join(map(cache.__getitem__, row)) for t, row in zip(texts, chunks, strict=True)]
+        if full:
+            for chunk in new:
+                del cache[chunk]
+            self._missed += len(new)
+            if self._missed > 8 * self._most:
+                cache.clear()
+                self._missed = 0
+        return out
+
+
+_ENCODERS: dict[tuple, Encoder] = {}
+
+
+def encoder(path: str, leading: bool, width: int = 4) -> Encoder:
+    """The encoder of this Python worker, whose cache serves all its tasks."""
+    key = (path, leading, width)
+    if key not in _ENCODERS:
+        _ENCODERS[key] = Encoder(path, leading, width)
+    return _ENCODERS[key]
 
 
 def text_slices(batches, rows: int = 256, size: int = 4 << 20):
