@@ -33,6 +33,12 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.union(linked.select("u", F.col("m").alias("v"))).filter(F.col("u") != F.col("v")).distinct()
 
 
+def _settled(stars: DataFrame) -> bool:
+    """Whether every edge (u, v) leads from a node to a root: no v is a u, and each u has one v."""
+    inner = stars.join(stars.select(F.col("u").alias("v")).distinct(), "v", "left_semi").select("u")
+    return not inner.union(stars.groupBy("u").agg(F.count("*").alias("n")).filter("n > 1").select("u")).limit(1).count()
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
     """Columns ``node`` and ``component`` (its smallest node) for each node of an edge.
 
@@ -45,15 +51,20 @@ def connected_components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
     a, b = edges.columns
     now = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).filter("u is not null and v is not null and u != v")
     now, path = stored(now.distinct(), "edges")
-    mark = None
     for _ in range(max_rounds):
         new, new_path = stored(_small_star(_large_star(now)), "stars")
-        seen = new.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         drop_scratch(spark, path)
         now, path = new, new_path
-        if seen == mark or not seen[0]:
+        if _settled(now):
             break
-        mark = seen
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(now.select("v", "v").distinct())
+
+
+def merged_components(parts: DataFrame, edges: DataFrame) -> DataFrame:
+    """``parts`` (node, component) after more edges (u, v) between its nodes; only components that edges touch are worked on."""
+    of = lambda name: parts.select(F.col("node").alias(name), F.col("component").alias(f"c_{name}"))
+    between = edges.join(of("u"), "u").join(of("v"), "v").select("c_u", "c_v")
+    moved = connected_components(between).select(F.col("node").alias("component"), F.col("component").alias("to"))
+    return parts.join(moved, "component", "left").select("node", F.coalesce("to", "component").alias("component"))

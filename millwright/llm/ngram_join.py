@@ -14,15 +14,17 @@ hand, and bounds each query's overlap before any member is compared.
 
 Only components are asked for, so two groups need one link, not all of them, and
 groups already in one component need none: a first round compares each group
-with the first group of its matrix rows, the second those pairs of groups whose
-components still differ.
+with the first few groups of its matrix rows, the second those pairs of groups
+whose components still differ.
+
+Before texts travel, parity bitmaps of the sets (about two bits per shingle) bound
+each overlap from above: sets that differ in more bits than links allow are out.
 """
 
 from __future__ import annotations
 
 import hashlib
 import zlib
-from collections import OrderedDict
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import materialise
-from .components import connected_components
+from .components import connected_components, merged_components
 from .shingles import Shingler, overlap, set_id
 from .tokens import text_slices
 
@@ -43,6 +45,10 @@ PERCENT = 75
 CELL_BITS, SLICES = 21, 64
 #: Sets held at once while a task forms groups, and the most members of a group.
 BLOCK_SETS, GROUP_SETS = 4096, 32
+#: First groups of a matrix row that all its groups are compared with in the first round.
+LEADS = 8
+#: Bits of the filter that spares texts of unasked documents the way; fixed.
+FILTER_BITS = 23
 
 
 def links(inter: int, a: int, b: int, percent: int = PERCENT) -> bool:
@@ -92,7 +98,7 @@ def _sketch(profile: DataFrame) -> np.ndarray:
     """The sketch of all documents: 2^CELL_BITS counts, whatever the size of the input."""
     parts = profile.filter("piece is not null").select("piece", "blob").repartition(SLICES, "piece").mapInArrow(_added, "piece int, blob binary")
     out = np.zeros((SLICES, (1 << CELL_BITS) // SLICES), np.uint32)
-    for row in parts.toLocalIterator():
+    for row in parts.collect():
         out[row[0]] = np.frombuffer(zlib.decompress(bytes(row[1])), "<u4")
     return out.ravel()
 
@@ -104,6 +110,34 @@ def rare_first(s: np.ndarray, sketch: np.ndarray, percent: int) -> np.ndarray:
     return s[np.lexsort((s, count))[:keep]]
 
 
+def parity(s: np.ndarray) -> bytes:
+    """A bitmap that holds, per bit, whether an odd number of shingles falls on it."""
+    bits = max(64, 1 << (2 * len(s) - 1).bit_length())
+    odd = np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def may_link(n: int, a: bytes, m: int, b: bytes, percent: int = PERCENT) -> bool:
+    """Whether sizes and parity bitmaps of two sets leave a link possible.
+
+    Sets that link share at least percent / (100 + percent) of their sizes' sum,
+    so they differ in at most the rest, and so do their bitmaps.
+    """
+    if 100 * min(n, m) < percent * max(n, m):
+        return False
+    most = n + m - 2 * -(-percent * (n + m) // (100 + percent))
+    x, y, size = int.from_bytes(a, "little"), int.from_bytes(b, "little"), 8 * min(len(a), len(b))
+    x, y = _folded(x, 8 * len(a), size), _folded(y, 8 * len(b), size)
+    return (x ^ y).bit_count() <= most
+
+
+def _folded(x: int, bits: int, to: int) -> int:
+    while bits > to:
+        bits //= 2
+        x = (x >> bits) ^ (x & ((1 << bits) - 1))
+    return x
+
+
 class Groups:
     """Groups of the sets that one task holds at a time."""
 
@@ -112,7 +146,7 @@ class Groups:
         self.index: dict[int, int] = {}
         self.seen: set[int] = set()
         self.lead: list[tuple[int, np.ndarray]] = []
-        self.members: list[list[int]] = []
+        self.members: list[list[tuple[int, int, bytes]]] = []
         self.shingles: list[set[int]] = []
         self.beside: list[tuple[int, int]] = []
 
@@ -142,7 +176,7 @@ class Groups:
             self.lead.append((sid, s))
             self.members.append([])
             self.shingles.append(set())
-        self.members[home].append(sid)
+        self.members[home].append((sid, len(s), parity(s)))
         self.shingles[home].update(rare)
         for x in rare:
             self.index[x] = home
@@ -155,15 +189,18 @@ class Groups:
             token = np.concatenate([np.fromiter(self.shingles[g], np.uint64, len(self.shingles[g])) for g in part])
             gid = np.repeat(np.array([names[g] for g in part], np.int64), [len(self.shingles[g]) for g in part])
             yield _entries(0, token.view(np.int64), gid)
-        pairs = [(names[g], sid) for g, m in enumerate(self.members) for sid in m]
-        for kind, rows in ((1, pairs), (2, self.beside)):
-            if rows:
-                a, b = np.array(rows, np.int64).T
-                yield _entries(kind, np.ascontiguousarray(a), np.ascontiguousarray(b))
+        rows = [(names[g], *m) for g, own in enumerate(self.members) for m in own]
+        for lo in range(0, len(rows), 4096):
+            a, b, n, bits = zip(*rows[lo : lo + 4096], strict=True)
+            yield _entries(1, np.array(a, np.int64), np.array(b, np.int64), n, bits)
+        if self.beside:
+            a, b = np.array(self.beside, np.int64).T
+            yield _entries(2, np.ascontiguousarray(a), np.ascontiguousarray(b))
 
 
-def _entries(kind: int, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int8)), pa.array(a), pa.array(b)], names=["kind", "a", "b"])
+def _entries(kind: int, a: np.ndarray, b: np.ndarray, n=None, bits=None) -> pa.RecordBatch:
+    nothing = [None] * len(a) if n is None else None
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int8)), pa.array(a), pa.array(b), pa.array(nothing or n, pa.int32()), pa.array(nothing or bits, pa.binary())], names=["kind", "a", "b", "n", "bits"])
 
 
 def _group(words: int, percent: int, sketch) -> object:
@@ -189,27 +226,74 @@ def _group(words: int, percent: int, sketch) -> object:
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (shingle, gid) sorted by both: those of shingles with two or more groups, with the first gid."""
-    token = first = last = None
+    """Rows (shingle, gid) sorted by both to (shingle, gid, lead, j).
+
+    Each group of a shingle meets the first ``LEADS`` groups before it, lead j
+    being the j-th of them. A shingle of one group gives no row.
+    """
+    token = last = None
+    leads: list[int] = []
     for batch in batches:
         a, b = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        if not len(a):
-            continue
-        new = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))
-        if token is not None and a[0] == token and b[0] == last:
+        new = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))[: len(a)]
+        if len(a) and token is not None and a[0] == token and b[0] == last:
             new[0] = False
         a, b = a[new], b[new]
         if not len(a):
             continue
-        start = np.append(True, a[1:] != a[:-1])
-        if token is not None and a[0] == token:
-            start[0] = False
-        at = np.maximum.accumulate(np.where(start, np.arange(len(a)), -1))
-        lead = np.where(at >= 0, b[np.maximum(at, 0)], 0 if first is None else first)
-        token, first, last = a[-1], lead[-1], b[-1]
-        more = ~start
-        if more.any():
-            yield pa.RecordBatch.from_arrays([pa.array(a[more]), pa.array(b[more]), pa.array(lead[more])], names=["token", "gid", "lead"])
+        held = leads if token is not None and a[0] == token else []
+        a_all = np.concatenate([np.full(len(held), a[0]), a])
+        b_all = np.concatenate([np.array(held, np.int64), b])
+        start = np.append(True, a_all[1:] != a_all[:-1])
+        first = np.maximum.accumulate(np.where(start, np.arange(len(a_all)), 0))
+        rank = np.arange(len(a_all)) - first
+        fresh = np.arange(len(a_all)) >= len(held)
+        for j in range(LEADS):
+            at = np.flatnonzero((rank > j) & fresh)
+            if not len(at):
+                break
+            yield pa.RecordBatch.from_arrays([pa.array(a_all[at]), pa.array(b_all[at]), pa.array(b_all[first[at] + j]), pa.array(np.full(len(at), j, np.int8))], names=["token", "gid", "lead", "j"])
+        tail = int(first[-1])
+        token, last, leads = a_all[-1], b_all[-1], b_all[tail : tail + LEADS].tolist()
+
+
+def _bounded(percent: int):
+    """(gid, members, gid, members) of candidate pairs to those that sizes and bitmaps do not rule out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            g, h = [], []
+            for lo in range(0, batch.num_rows, 256):
+                for x, of_x, y, of_y in zip(*(c.to_pylist() for c in batch.slice(lo, 256).columns), strict=True):
+                    if any(may_link(a["n"], a["bits"], b["n"], b["bits"], percent) for a in of_x for b in of_y):
+                        g.append(x)
+                        h.append(y)
+            yield pa.RecordBatch.from_arrays([pa.array(g, pa.int64()), pa.array(h, pa.int64())], names=["g", "h"])
+
+    return run
+
+
+def _asked_only(bitmap):
+    """Rows whose doc_id the fixed-size filter does not rule out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.unpackbits(bitmap.value, bitorder="little").view(bool)
+        for batch in batches:
+            yield batch.filter(pa.array(bits[batch.column(0).to_numpy()])).select(["doc_id", "text"])
+
+    return run
+
+
+def _filtered(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """``texts`` without most documents that ``ids`` lacks, by a bitmap of fixed size."""
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << FILTER_BITS))
+    words = ids.select(place.alias("p")).groupBy(F.floor(F.col("p") / 32).alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(p % 32 as int)))").alias("v"))
+    found = words.toPandas()
+    bitmap = np.zeros(1 << (FILTER_BITS - 5), "<u4")
+    bitmap[found.w.to_numpy(np.int64)] = found.v.to_numpy(np.int64).astype("<u4")
+    held = texts.sparkSession.sparkContext.broadcast(bitmap.view(np.uint8))
+    rows = texts.filter("doc_id is not null").select(place.alias("p"), "doc_id", "text")
+    return rows.mapInArrow(_asked_only(held), "doc_id long, text string")
 
 
 def group_link(a: dict[int, np.ndarray], b: dict[int, np.ndarray], percent: int = PERCENT) -> tuple[int, int] | None:
@@ -240,25 +324,32 @@ def _open(words: int, percent: int):
     """(gid, texts, gid, texts) of candidate pairs to the links found."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, cache = Shingler(words), OrderedDict()
-
-        def sets(gid, members):
-            if gid not in cache:
-                cache[gid] = {m["sid"]: s for m, s in zip(members, shingler.sets([m["text"] for m in members]), strict=True) if set_id(s) == m["sid"]}
-                if len(cache) > 64:
-                    cache.popitem(last=False)
-            cache.move_to_end(gid)
-            return cache[gid]
+        shingler, held = Shingler(words), {}
+
+        def compared(rows: list[tuple]) -> pa.RecordBatch:
+            """Links of some pairs; all their texts are shingled at once, those of the last pairs are at hand."""
+            nonlocal held
+            members = {gid: own for g, of_g, h, of_h in rows for gid, own in ((g, of_g), (h, of_h))}
+            new = [(gid, m["sid"], m["text"]) for gid, own in members.items() if gid not in held for m in own]
+            held = {gid: held.get(gid, {}) for gid in members}
+            for (gid, sid, _), s in zip(new, shingler.sets([t for _, _, t in new]), strict=True):
+                if set_id(s) == sid:
+                    held[gid][sid] = s
+            found = [x for g, _, h, _ in rows if (x := group_link(held[g], held[h], percent))]
+            a, b = np.array(found, np.int64).reshape(-1, 2).T
+            return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(a)), pa.array(np.ascontiguousarray(b))], names=["u", "v"])
 
         for batch in batches:
+            rows, size = [], 0
             for lo in range(0, batch.num_rows, 32):
-                out = []
-                for g, of_g, h, of_h in zip(*(c.to_pylist() for c in batch.slice(lo, 32).columns), strict=True):
-                    if found := group_link(sets(g, of_g), sets(h, of_h), percent):
-                        out.append(found)
-                if out:
-                    a, b = np.array(out, np.int64).T
-                    yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(a)), pa.array(np.ascontiguousarray(b))], names=["u", "v"])
+                for row in zip(*(c.to_pylist() for c in batch.slice(lo, 32).columns), strict=True):
+                    rows.append(row)
+                    size += sum(len(m["text"] or "") for own in (row[1], row[3]) for m in own)
+                    if size >= 2 << 20 or len(rows) >= 512:
+                        yield compared(rows)
+                        rows, size = [], 0
+            if rows:
+                yield compared(rows)
 
     return run
 
@@ -303,35 +394,37 @@ def one_per_component(docs: DataFrame, words: int = WORDS, percent: int = PERCEN
 
 def set_components(texts: DataFrame, owners: DataFrame, sketch, words: int, percent: int) -> DataFrame:
     """Components (node, component) of the sets that link with another; nodes also name groups."""
-    made = materialise(texts.mapInArrow(_group(words, percent, sketch), "kind byte, a long, b long"), "matrix")
-    members = made.filter("kind = 1").select(F.col("a").alias("gid"), F.col("b").alias("sid"))
+    made = materialise(texts.mapInArrow(_group(words, percent, sketch), "kind byte, a long, b long, n int, bits binary"), "matrix")
+    members = made.filter("kind = 1").select(F.col("a").alias("gid"), F.col("b").alias("sid"), "n", "bits")
     inside = made.filter("kind > 0").select(F.col("a").alias("u"), F.col("b").alias("v"))
     matrix = made.filter("kind = 0").select(F.col("a").alias("token"), F.col("b").alias("gid"))
     matrix = matrix.repartition("token").sortWithinPartitions("token", "gid")
-    shared = materialise(matrix.mapInArrow(_shared, "token long, gid long, lead long"), "shared")
+    shared = materialise(matrix.mapInArrow(_shared, "token long, gid long, lead long, j byte"), "shared")
 
-    first = shared.select(F.col("lead").alias("g"), F.col("gid").alias("h")).distinct()
-    first = materialise(first, "pairs")
-    asked = first.select(F.col("g").alias("gid")).union(first.select("h")).distinct()
-    where = members.join(asked, "gid").join(owners, "sid").select("gid", "sid", F.col("first").alias("doc_id"))
-    load = where.join(texts, "doc_id").groupBy("gid").agg(F.collect_list(F.struct("sid", "text")).alias("members"))
-    load = materialise(load, "members")
+    def both_sides(pairs: DataFrame, of: DataFrame) -> DataFrame:
+        left = of.select(F.col("gid").alias("g"), F.col("members").alias("of_g"))
+        right = of.select(F.col("gid").alias("h"), F.col("members").alias("of_h"))
+        return pairs.join(left, "g").join(right, "h").select("g", "of_g", "h", "of_h")
 
     def opened(pairs: DataFrame) -> DataFrame:
-        left = load.select(F.col("gid").alias("g"), F.col("members").alias("of_g"))
-        right = load.select(F.col("gid").alias("h"), F.col("members").alias("of_h"))
-        both = pairs.join(left, "g").join(right, "h").select("g", "of_g", "h", "of_h")
-        return materialise(both.mapInArrow(_open(words, percent), "u long, v long"), "found")
-
+        """Links found in pairs of groups: bitmaps first, texts of what is left after."""
+        asked = pairs.select(F.col("g").alias("gid")).union(pairs.select("h")).distinct()
+        marks = members.join(asked, "gid").groupBy("gid").agg(F.collect_list(F.struct("sid", "n", "bits")).alias("members"))
+        left = materialise(both_sides(pairs, marks).mapInArrow(_bounded(percent), "g long, h long"), "bounded")
+        asked = left.select(F.col("g").alias("gid")).union(left.select("h")).distinct()
+        where = materialise(members.join(asked, "gid").join(owners, "sid").select("gid", "sid", F.col("first").alias("doc_id")), "asked")
+        load = where.join(_filtered(texts, where), "doc_id").groupBy("gid").agg(F.collect_list(F.struct("sid", "text")).alias("members"))
+        load = materialise(load, "members")
+        return materialise(both_sides(left, load).mapInArrow(_open(words, percent), "u long, v long"), "found")
+
+    first = materialise(shared.select(F.col("lead").alias("g"), F.col("gid").alias("h")).distinct(), "pairs")
     parts = materialise(connected_components(inside.union(opened(first))), "parts")
-    entries = shared.select("token", "gid").union(shared.select("token", F.col("lead")).distinct())
+    entries = shared.filter("j = 0")
+    entries = entries.select("token", "gid").union(entries.select("token", "lead").distinct())
     entries = entries.join(parts.select(F.col("node").alias("gid"), F.col("component").alias("part")), "gid")
-    mixed = entries.groupBy("token").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).filter("lo != hi").select("token")
+    mixed = entries.groupBy("token").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.count("*").alias("n")).filter(f"lo != hi and n > {LEADS}").select("token")
     entries = materialise(entries.join(mixed, "token"), "open")
     other = entries.select("token", F.col("gid").alias("h"), F.col("part").alias("of"))
     pairs = entries.withColumnRenamed("gid", "g").join(other, "token").filter("part != of and g < h").select("g", "h").distinct()
-    tested = first.select(F.least("g", "h").alias("g"), F.greatest("g", "h").alias("h"))
-    pairs = materialise(pairs.join(tested, ["g", "h"], "left_anti"), "pairs")
-    more = opened(pairs)
-    roots = parts.select(F.col("node").alias("u"), F.col("component").alias("v"))
-    return connected_components(roots.union(more))
+    pairs = materialise(pairs.join(first, ["g", "h"], "left_anti"), "pairs")
+    return merged_components(parts, opened(pairs))
