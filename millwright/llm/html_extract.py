@@ -16,7 +16,7 @@ import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain, repeat
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -66,7 +66,7 @@ class Block:
     """A run of text between block-level tags."""
 
     words: list[str]
-    tokens: list[int]
+    path: int
     furniture: bool
     main: int
     linked: int  # characters inside links
@@ -76,7 +76,7 @@ class Block:
 
 @dataclass
 class Page:
-    tokens: list[int]  # of tags and words in page order
+    tokens: list[int]  # tags in page order; -1 - k stands for the words of block k
     blocks: list[Block]
 
 
@@ -105,7 +105,7 @@ class Interner(dict):
 
 
 def parse(source: str, names: Interner) -> Page:
-    """Tokens and text blocks of one page; ``names`` numbers paths and path-qualified tokens."""
+    """Tags and text blocks of one page; ``names`` numbers paths and path-qualified tags."""
     tokens, blocks, mains = [], [], 0
     stack = [Element("", names["", 0], False, 0, False)]
     parts: list[tuple[str, bool]] = []
@@ -114,14 +114,13 @@ def parse(source: str, names: Interner) -> Page:
     def flush() -> None:
         if not parts:
             return
-        words, linked, own = "".join(t for t, _ in parts).split(), sum(len(t) for t, a in parts if a), []
+        words, linked = "".join(t for t, _ in parts).split(), sum(len(t) for t, a in parts if a)
         top = stack[-1]
         parts.clear()
         if words:
-            own = [names[key] for key in zip(words, repeat(top.path), repeat("w"))]
-            tokens.extend(own)
+            tokens.append(-1 - len(blocks))
             heading = any(e.name in ("h1", "h2", "h3", "h4", "h5", "h6") for e in stack[-3:])
-            blocks.append(Block(words, own, top.furniture, top.main, linked, heading, top.header))
+            blocks.append(Block(words, top.path, top.furniture, top.main, linked, heading, top.header))
 
     def close(k: int) -> None:
         nonlocal links
@@ -198,15 +197,15 @@ def parse(source: str, names: Interner) -> Page:
 
 
 def unlike(pages: list[Page]) -> list[Page]:
-    """Pages of which none shares most of its text tokens with one before it.
+    """Pages of which none shares most of its words with one before it.
 
     Copies of one article would make their article look like a template.
     """
     kept: list[Page] = []
     sizes: list[int] = []
-    holders: dict[int, list[int]] = defaultdict(list)
+    holders: dict[str, list[int]] = defaultdict(list)
     for page in pages:
-        own = {t for b in page.blocks if not b.furniture for t in b.tokens}
+        own = set(chain.from_iterable(b.words for b in page.blocks if not b.furniture))
         shared = Counter(chain.from_iterable(map(holders.__getitem__, own & holders.keys())))
         if all(2 * k <= min(len(own), sizes[i]) for i, k in shared.items()):
             for t in own:
@@ -218,11 +217,27 @@ def unlike(pages: list[Page]) -> list[Page]:
 
 @dataclass
 class EquivalenceClass:
-    tokens: list[int]  # in template order
+    tokens: list  # in template order: numbers of tags, (word, path) of words
     parent: int | None = None
     slot: int = 0
 
 
+def _stream(page: Page, frequent: set[str]) -> Iterator[tuple[int, object]]:
+    """(place, token) of a page's tags and of those words that are frequent, by path."""
+    at = 0
+    for t in page.tokens:
+        if t >= 0:
+            yield at, t
+            at += 1
+        else:
+            block = page.blocks[-1 - t]
+            if not frequent.isdisjoint(block.words):
+                for k, w in enumerate(block.words):
+                    if w in frequent:
+                        yield at + k, (w, block.path)
+            at += len(block.words)
+
+
 def deduce(pages: list[Page], least: int = LEAST_PAGES) -> list[EquivalenceClass]:
     """The template of pages: valid equivalence classes, each nested in a slot of its parent.
 
@@ -233,21 +248,24 @@ def deduce(pages: list[Page], least: int = LEAST_PAGES) -> list[EquivalenceClass
     n = len(pages)
     if n < least:
         return []
-    most = Counter(chain.from_iterable(set(page.tokens) for page in pages))
-    common = {t for t, k in most.items() if k > max(n // 2, least - 1)}
-    places: dict[int, list[list[int]]] = {t: [[] for _ in range(n)] for t in common}
-    for i, page in enumerate(pages):
-        for at, t in enumerate(page.tokens):
-            if t in common:
+    bar = max(n // 2, least - 1)
+    of_words = Counter(chain.from_iterable(set(chain.from_iterable(b.words for b in page.blocks)) for page in pages))
+    frequent = {w for w, k in of_words.items() if k > bar}
+    streams = [list(_stream(page, frequent)) for page in pages]
+    most = Counter(chain.from_iterable({t for _, t in stream} for stream in streams))
+    places: dict[object, list[list[int]]] = {t: [[] for _ in range(n)] for t, k in most.items() if k > bar}
+    for i, stream in enumerate(streams):
+        for at, t in stream:
+            if t in places:
                 places[t][i].append(at)
-    by_vector: dict[tuple[int, ...], list[int]] = defaultdict(list)
+    by_vector: dict[tuple[int, ...], list] = defaultdict(list)
     for t, where in places.items():
         by_vector[tuple(map(len, where))].append(t)
     found = []
     for vector, tokens in sorted(by_vector.items(), key=lambda x: (x[0] != (1,) * n, -len(x[1]))):
         sample = next(i for i, v in enumerate(vector) if v)
         tokens.sort(key=lambda t: places[t][sample][0])
-        ordered: list[int] = []
+        ordered: list = []
         for t in tokens:
             before = places[ordered[-1]] if ordered else None
             after_first = places[ordered[0]] if ordered else None
@@ -285,7 +303,7 @@ def _slot(c: EquivalenceClass, places, page: int, at: int) -> int | None:
     return s if s < len(c.tokens) else None
 
 
-def main_text(page: Page, fixed: set[int]) -> str:
+def main_text(page: Page, fixed: set) -> str:
     """The text that the template leaves in the slots of the article, one line per block."""
     blocks = [b for b in page.blocks if not b.furniture and (b.heading or not b.header)]
     inside = [b for b in blocks if b.main]
@@ -299,7 +317,7 @@ def main_text(page: Page, fixed: set[int]) -> str:
     for b in blocks:
         chars = sum(map(len, b.words))
         mostly_links = b.linked * 10 > 8 * chars and not b.heading
-        if not mostly_links and not all(t in fixed for t in b.tokens):
+        if not mostly_links and not all((w, b.path) in fixed for w in b.words):
             out.append(" ".join(b.words))
     return "\n".join(out)
 
@@ -308,8 +326,7 @@ def extract(sources: list[str | None]) -> list[str]:
     """Main texts of pages that share a host; null counts as empty."""
     names = Interner()
     pages = [parse(s or "", names) for s in sources]
-    words = {n for key, n in names.items() if key[-1] == "w"}
-    fixed = {t for c in deduce(unlike(pages)) for t in c.tokens} & words
+    fixed = {t for c in deduce(unlike(pages)) for t in c.tokens if isinstance(t, tuple)}
     return [main_text(p, fixed) for p in pages]
 
 
