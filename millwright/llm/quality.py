@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -42,9 +43,9 @@ def measures(text: str) -> dict[str, float]:
     tokens = text.split()
     n, chars = len(tokens), max(len(text), 1)
     lines = [x for x in text.split("\n") if x.strip()]
-    repeats = sum(a == b for a, b in zip(tokens, tokens[1:], strict=False))
+    repeats = sum(map(eq, tokens, tokens[1:]))
     upper = sum(map(str.isupper, tokens))
-    alpha = sum(map(str.isalpha, text))
+    alpha = sum(map(len, _WORDS.findall(text)))
     ends = sum(x.rstrip()[-1] in ".!?…\"'”»:;" for x in lines)
     return {
         "words": n,
@@ -53,7 +54,7 @@ def measures(text: str) -> dict[str, float]:
         "capitals": upper / max(n, 1),
         "letters": alpha / chars,
         "exclaim": (text.count("!") + text.count("?")) / max(n, 1),
-        "stop": sum(t in STOPWORDS for t in text.lower().split()) / max(n, 1),
+        "stop": sum(map(STOPWORDS.__contains__, text.lower().split())) / max(n, 1),
         "length": sum(map(len, tokens)) / max(n, 1),
         "same_lines": 1 - len(set(lines)) / max(len(lines), 1),
         "ends": ends / max(len(lines), 1),

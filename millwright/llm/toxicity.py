@@ -100,7 +100,7 @@ def induce_lexicon(texts: list[str], toxic: np.ndarray, least: int = 5) -> dict[
 class Featurizer:
     """Texts to rows of ``FEATURES``."""
 
-    def __init__(self, learnt: dict[str, int] | None = None, cache_entries: int = 300_000) -> None:
+    def __init__(self, learnt: dict[str, int] | None = None, cache_entries: int = 600_000) -> None:
         self.learnt = learnt or {}
         self._flags: dict[str, int] = {}
         self._most = cache_entries
@@ -134,11 +134,13 @@ class Featurizer:
     def row(self, text: str) -> list[float]:
         tokens = text.split()
         cache, n = self._flags, len(tokens)
-        if len(cache) > self._most:
-            cache.clear()
-        for t in set(tokens).difference(cache):
+        new = set(tokens).difference(cache)
+        for t in new:
             cache[t] = self.flags(t)
         marks = np.fromiter(map(cache.__getitem__, tokens), np.int16, n)
+        if len(cache) > self._most:  # the first words stay, being the frequent ones
+            for t in new:
+                del cache[t]
         used = np.flatnonzero(marks)
         marks = marks[used]
         count = lambda bit: int(((marks & bit) > 0).sum())
@@ -164,6 +166,18 @@ class Featurizer:
         return np.array([self.row(t or "") for t in texts], np.float64).reshape(-1, len(FEATURES))
 
 
+_FEATURIZERS: dict[int, Featurizer] = {}
+
+
+def featurizer(learnt: dict[str, int]) -> Featurizer:
+    """This Python worker's featurizer for a lexicon, whose cache serves all its tasks."""
+    key = zlib.crc32(repr(sorted(learnt.items())).encode())
+    if key not in _FEATURIZERS:
+        _FEATURIZERS.clear()
+        _FEATURIZERS[key] = Featurizer(learnt)
+    return _FEATURIZERS[key]
+
+
 @dataclass
 class Boosted:
     """Gradient boosting of small regression trees on logistic loss.
@@ -314,7 +328,7 @@ def scores(docs: DataFrame, model: Model, keep: list[str] | None = None, at_leas
     """doc_id and score per document; with ``keep``, those columns of the rows scored below ``at_least``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        featurize = Featurizer(model.learnt)
+        featurize = featurizer(model.learnt)
         for batch in batches:
             done = [model.score(featurize(texts)) for _, texts in text_slices([batch])]
             score = np.concatenate(done) if done else np.empty(0)
