@@ -125,7 +125,7 @@ def write_scores(scores: DataFrame, path: str, run: dict) -> None:
     """Adds a scoring run under the day of its ``scored_at``; array columns become text."""
     flat = scores.withColumn("top_drivers", F.array_join("top_drivers", ",")) if "top_drivers" in scores.columns else scores
     flat.withColumn("dt", day_key(F.col("scored_at"))).coalesce(1).write.mode("append").partitionBy("dt").parquet(path)
-    write_json(run, f"{path}/run.json")
+    write_json(run, f"{path}/_run.json")
 
 
 def read_scores(spark: SparkSession, path: str, since: datetime | None = None) -> DataFrame:
