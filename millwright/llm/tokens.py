@@ -12,16 +12,21 @@ import os
 import re
 import sys
 from array import array
+from itertools import chain
 
 #: The characters with the Unicode property White_Space.
 _WS = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
+_MARKS = ".,;:!?#$%&*()|\"-+=/@^~"
+
+
 class Encoder:
     """Texts to little-endian id bytes.
 
     ``leading`` keeps white space in front of each chunk, for vocabularies whose
-    units carry it; without it white space is dropped, for those that drop it.
+    units carry it; without it white space is dropped and case folded, for those
+    that do so.
     """
 
     def __init__(self, path: str, leading: bool, width: int = 4, cache_entries: int = 1_500_000) -> None:
@@ -31,6 +36,7 @@ class Encoder:
         self._tokenizer = Tokenizer.from_file(path)
         self._cache: dict[str, bytes] = {}
         self._most, self._missed = cache_entries, 0
+        self._folds = not leading
         self._kind = {2: "H", 4: "I"}[width]
         self._split = re.compile(rf"[{_WS}]*[^{_WS}]+|[{_WS}]+" if leading else rf"[^{_WS}]+").findall
         added = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
@@ -43,6 +49,19 @@ class Encoder:
             packed.byteswap()
         return packed.tobytes()
 
+    def _parts(self, chunk: str) -> tuple[str, ...]:
+        """What a chunk is encoded as: the word and the marks after it, in lower case where the vocabulary has no other.
+
+        A letter followed by marks ends a unit of both vocabularies; the
+        apostrophe, which may belong to the word, is none of these marks.
+        """
+        word = chunk.rstrip(_MARKS)
+        if len(word) == len(chunk) or not word or not word[-1].isalpha():
+            return (chunk.lower(),) if self._folds and chunk.isascii() else (chunk,)
+        if self._folds and word.isascii():
+            word = word.lower()
+        return word, chunk[len(word) :]
+
     def whole(self, text: str) -> bytes:
         return self._pack(self._tokenizer.encode(text, add_special_tokens=False).ids)
 
@@ -56,10 +75,18 @@ class Encoder:
         chunks = [None if self._added(t) else self._split(t) for t in (x or "" for x in texts)]
         new = list(set().union(*[row for row in chunks if row is not None]).difference(cache))
         full = len(cache) >= self._most
-        for lo in range(0, len(new), 20_000):
-            part = new[lo : lo + 20_000]
-            for chunk, e in zip(part, self._many(part, add_special_tokens=False), strict=True):
-                cache[chunk] = self._pack(e.ids)
+        parts = [self._parts(c) for c in new]
+        todo = list(set(chain.from_iterable(parts)).difference(cache))
+        for lo in range(0, len(todo), 20_000):
+            some = todo[lo : lo + 20_000]
+            for part, e in zip(some, self._many(some, add_special_tokens=False), strict=True):
+                cache[part] = self._pack(e.ids)
+        for chunk, part in zip(new, parts, strict=True):
+            if len(part) > 1:
+                cache[chunk] = cache[part[0]] + cache[part[1]]
+            elif part[0] != chunk:
+                cache[chunk] = cache[part[0]]
+        new = {*new, *todo}
         out = [self.whole(t) if row is None else b"".join(map(cache.__getitem__, row)) for t, row in zip(texts, chunks, strict=True)]
         if full:
             for chunk in new:
