@@ -47,6 +47,8 @@ CELL_BITS, SLICES = 21, 64
 BLOCK_SETS, GROUP_SETS = 4096, 32
 #: First groups of a matrix row that all its groups are compared with in the first round.
 LEADS = 8
+#: Groups of a matrix row that meet in one task in the second round; longer rows are cut into pairs of blocks.
+ROW_BLOCK = 1024
 #: Bits of the filter that spares texts of unasked documents the way; fixed.
 FILTER_BITS = 23
 
@@ -257,6 +259,26 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token, last, leads = a_all[-1], b_all[-1], b_all[tail : tail + LEADS].tolist()
 
 
+def _across(percent: int):
+    """Groups of one matrix row, or of two blocks of it, to the pairs of unlike components that may link.
+
+    Pairs are formed and bounded here, and only what the bitmaps leave is passed on.
+    """
+
+    def run(row: pa.Table) -> pa.Table:
+        gid, part, side = (row.column(c).to_pylist() for c in ("gid", "part", "side"))
+        sets = [[(m["n"], m["bits"]) for m in own] for own in row.column("members").to_pylist()]
+        two, found = any(side), []
+        for i in range(len(gid)):
+            for j in range(i):
+                if part[i] != part[j] and (not two or side[i] != side[j]) and any(may_link(n, a, m, b, percent) for n, a in sets[i] for m, b in sets[j]):
+                    found.append((min(gid[i], gid[j]), max(gid[i], gid[j])))
+        g, h = zip(*found, strict=True) if found else ((), ())
+        return pa.table({"g": pa.array(g, pa.int64()), "h": pa.array(h, pa.int64())})
+
+    return run
+
+
 def _bounded(percent: int):
     """(gid, members, gid, members) of candidate pairs to those that sizes and bitmaps do not rule out."""
 
@@ -406,11 +428,11 @@ def set_components(texts: DataFrame, owners: DataFrame, sketch, words: int, perc
         right = of.select(F.col("gid").alias("h"), F.col("members").alias("of_h"))
         return pairs.join(left, "g").join(right, "h").select("g", "of_g", "h", "of_h")
 
-    def opened(pairs: DataFrame) -> DataFrame:
-        """Links found in pairs of groups: bitmaps first, texts of what is left after."""
-        asked = pairs.select(F.col("g").alias("gid")).union(pairs.select("h")).distinct()
-        marks = members.join(asked, "gid").groupBy("gid").agg(F.collect_list(F.struct("sid", "n", "bits")).alias("members"))
-        left = materialise(both_sides(pairs, marks).mapInArrow(_bounded(percent), "g long, h long"), "bounded")
+    def marks(asked: DataFrame) -> DataFrame:
+        return members.join(asked, "gid").groupBy("gid").agg(F.collect_list(F.struct("sid", "n", "bits")).alias("members"))
+
+    def opened(left: DataFrame) -> DataFrame:
+        """Links found in pairs of groups that bitmaps do not rule out."""
         asked = left.select(F.col("g").alias("gid")).union(left.select("h")).distinct()
         where = materialise(members.join(asked, "gid").join(owners, "sid").select("gid", "sid", F.col("first").alias("doc_id")), "asked")
         load = where.join(_filtered(texts, where), "doc_id").groupBy("gid").agg(F.collect_list(F.struct("sid", "text")).alias("members"))
@@ -418,13 +440,18 @@ def set_components(texts: DataFrame, owners: DataFrame, sketch, words: int, perc
         return materialise(both_sides(left, load).mapInArrow(_open(words, percent), "u long, v long"), "found")
 
     first = materialise(shared.select(F.col("lead").alias("g"), F.col("gid").alias("h")).distinct(), "pairs")
-    parts = materialise(connected_components(inside.union(opened(first))), "parts")
+    asked = first.select(F.col("g").alias("gid")).union(first.select("h")).distinct()
+    left = materialise(both_sides(first, marks(asked)).mapInArrow(_bounded(percent), "g long, h long"), "bounded")
+    parts = materialise(connected_components(inside.union(opened(left))), "parts")
     entries = shared.filter("j = 0")
     entries = entries.select("token", "gid").union(entries.select("token", "lead").distinct())
     entries = entries.join(parts.select(F.col("node").alias("gid"), F.col("component").alias("part")), "gid")
-    mixed = entries.groupBy("token").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.count("*").alias("n")).filter(f"lo != hi and n > {LEADS}").select("token")
+    mixed = entries.groupBy("token").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.count("*").alias("n")).filter(f"lo != hi and n > {LEADS}").select("token", "n")
     entries = materialise(entries.join(mixed, "token"), "open")
-    other = entries.select("token", F.col("gid").alias("h"), F.col("part").alias("of"))
-    pairs = entries.withColumnRenamed("gid", "g").join(other, "token").filter("part != of and g < h").select("g", "h").distinct()
+    blocks = F.ceil(F.col("n") / ROW_BLOCK).cast("int")
+    cells = entries.withColumn("own", F.pmod(F.xxhash64("gid"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    cells = cells.withColumns({"lo": F.least("own", "other"), "hi": F.greatest("own", "other")}).withColumn("side", (F.col("own") != F.col("lo")).cast("int"))
+    cells = cells.join(marks(entries.select("gid").distinct()), "gid").select("token", "lo", "hi", "gid", "part", "side", "members")
+    pairs = cells.groupBy("token", "lo", "hi").applyInArrow(_across(percent), "g long, h long").distinct()
     pairs = materialise(pairs.join(first, ["g", "h"], "left_anti"), "pairs")
     return merged_components(parts, opened(pairs))
