@@ -29,7 +29,7 @@ class Encoder:
     that do so.
     """
 
-    def __init__(self, path: str, leading: bool, width: int = 4, cache_entries: int = 1_500_000) -> None:
+    def __init__(self, path: str, leading: bool, width: int = 4, cache_entries: int = 700_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 

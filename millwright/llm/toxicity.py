@@ -100,7 +100,7 @@ def induce_lexicon(texts: list[str], toxic: np.ndarray, least: int = 5) -> dict[
 class Featurizer:
     """Texts to rows of ``FEATURES``."""
 
-    def __init__(self, learnt: dict[str, int] | None = None, cache_entries: int = 600_000) -> None:
+    def __init__(self, learnt: dict[str, int] | None = None, cache_entries: int = 200_000) -> None:
         self.learnt = learnt or {}
         self._flags: dict[str, int] = {}
         self._most = cache_entries
