@@ -35,6 +35,7 @@ BLOCKS = frozenset(
     h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul""".split()
 )
 FURNITURE = frozenset("nav footer aside form script style noscript template iframe head title button select textarea svg canvas object menu dialog search noembed noframes xmp".split())
+IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
 CLOSES_ITS_LIKE = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 KEEPS_OPEN = frozenset("article aside body div dl fieldset figure footer form header main nav ol section table td th ul blockquote html".split())
 #: Words in class, id or role that name page furniture.
@@ -128,6 +129,14 @@ def parse(source: str, names: Interner) -> Page:
             links -= e.name == "a"
         del stack[k:]
 
+    def leave_head(name: str) -> None:
+        """Closes a head without an end tag before what cannot stand in one."""
+        if stack[-1].name == "head" and name not in IN_HEAD or name == "body":
+            k = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].name in ("head", "template")), None)
+            if k is not None and stack[k].name == "head":
+                flush()
+                close(k)
+
     at, skip_to = 0, None
     lower = None
     while at < len(source):
@@ -137,6 +146,8 @@ def parse(source: str, names: Interner) -> Page:
         at = m.end()
         end, name, raw, text = m[1], m[2], m[3], m[4]
         if text is not None:
+            if stack[-1].name == "head" and text.strip():
+                leave_head("")
             parts.append((html.unescape(text) if "&" in text else text, links > 0))
             continue
         if name is None:
@@ -151,6 +162,7 @@ def parse(source: str, names: Interner) -> Page:
                     tokens.append(names["/", stack[k].path])
                     close(k)
             continue
+        leave_head(name)
         if name in BLOCKS:
             flush()
             if name not in ("html", "body"):

@@ -116,6 +116,14 @@ def test_template_nests():
     assert len(template) == 2 and template[1].parent == 0
 
 
+def test_head_without_end_tag():
+    page = "<html><head><title>t</title><meta name=a>{body}<article><p>text"
+    for body in ("<body>", "<body class=x>", "", "<div>"):
+        assert html_extract.extract([page.format(body=body)]) == ["text"]
+    assert html_extract.extract(["<head><style>p {}</style><noscript>off</noscript><p>text</p>"]) == ["text"]
+    assert html_extract.extract(["<head><title>t</title>text <b>bold</b>"]) == ["text bold"]
+
+
 SF = "/root/testdata/sf0.001"
 
 
