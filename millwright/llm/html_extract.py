@@ -46,6 +46,8 @@ FURNITURE_WORDS = frozenset(
     search searchbox share sharing sidebar sidenav side skip social sponsor sponsored subscribe subscription newsletter signup login
     tagcloud tags toc widget widgets copyright legal complementary contentinfo replies reply discussion feedback""".split()
 )
+#: Words in class, id or role of articles that only point to another page.
+TEASER_WORDS = frozenset("teaser teasers".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|([^<]+|<)", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=\"'/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
@@ -58,7 +60,8 @@ class Element:
     name: str
     path: int
     furniture: bool
-    main: int  # number of the innermost article or main element, 0 if none
+    main: bool  # in an article or main element
+    teaser: bool  # in one that is marked as a teaser of another page
     header: bool
 
 
@@ -69,7 +72,8 @@ class Block:
     words: list[str]
     path: int
     furniture: bool
-    main: int
+    main: bool
+    teaser: bool
     linked: int  # characters inside links
     heading: bool
     header: bool
@@ -85,6 +89,12 @@ def _attributes(raw: str) -> dict[str, str]:
     return {m[0].lower(): html.unescape(m[1] or m[2] or m[3]) for m in _ATTRIBUTE.findall(raw)}
 
 
+def _words(attributes: dict[str, str]) -> set[str]:
+    """The words of class, id and role."""
+    named = " ".join(attributes.get(k, "") for k in ("class", "id", "role"))
+    return set(_NAMES.findall(_CAMEL.sub(r"\1 \2", named).lower()))
+
+
 def _is_furniture(name: str, attributes: dict[str, str]) -> bool:
     if name in FURNITURE or "hidden" in attributes or attributes.get("aria-hidden") == "true":
         return True
@@ -92,8 +102,7 @@ def _is_furniture(name: str, attributes: dict[str, str]) -> bool:
         return True
     if name in ("body", "html", "main"):
         return False
-    named = " ".join(attributes.get(k, "") for k in ("class", "id", "role"))
-    words = set(_NAMES.findall(_CAMEL.sub(r"\1 \2", named).lower()))
+    words = _words(attributes)
     if name == "article":
         words -= {"hidden", "tags", "side", "notice", "alert", "legal", "feedback", "discussion"}
     return bool(words & FURNITURE_WORDS)
@@ -107,8 +116,8 @@ class Interner(dict):
 
 def parse(source: str, names: Interner) -> Page:
     """Tags and text blocks of one page; ``names`` numbers paths and path-qualified tags."""
-    tokens, blocks, mains = [], [], 0
-    stack = [Element("", names["", 0], False, 0, False)]
+    tokens, blocks = [], []
+    stack = [Element("", names["", 0], False, False, False, False)]
     parts: list[tuple[str, bool]] = []
     links = 0
 
@@ -121,7 +130,7 @@ def parse(source: str, names: Interner) -> Page:
         if words:
             tokens.append(-1 - len(blocks))
             heading = any(e.name in ("h1", "h2", "h3", "h4", "h5", "h6") for e in stack[-3:])
-            blocks.append(Block(words, top.path, top.furniture, top.main, linked, heading, top.header))
+            blocks.append(Block(words, top.path, top.furniture, top.main, top.teaser, linked, heading, top.header))
 
     def close(k: int) -> None:
         nonlocal links
@@ -198,12 +207,10 @@ def parse(source: str, names: Interner) -> Page:
             at = skip_to or len(source)
             continue
         furniture = top.furniture or _is_furniture(name, attributes) or (name == "header" and not top.main)
-        main = top.main
-        if not furniture and (name in ("article", "main") or attributes.get("role") in ("main", "article") or attributes.get("itemprop") == "articleBody"):
-            mains += 1
-            main = mains
+        marked = not furniture and (name in ("article", "main") or attributes.get("role") in ("main", "article") or attributes.get("itemprop") == "articleBody")
+        teaser = top.teaser or (marked and not TEASER_WORDS.isdisjoint(_words(attributes)))
         links += name == "a"
-        stack.append(Element(name, path, furniture, main, top.header or (name == "header" and top.main > 0)))
+        stack.append(Element(name, path, furniture, top.main or marked, teaser, top.header or (name == "header" and top.main)))
     flush()
     return Page(tokens, blocks)
 
@@ -316,19 +323,19 @@ def _slot(c: EquivalenceClass, places, page: int, at: int) -> int | None:
 
 
 def main_text(page: Page, fixed: set) -> str:
-    """The text that the template leaves in the slots of the article, one line per block."""
+    """The text that the template leaves in the slots of the article, one line per block.
+
+    All article and main elements count, but teasers only where there is nothing
+    else. Blocks that are mostly links are menus only on pages without such elements.
+    """
     blocks = [b for b in page.blocks if not b.furniture and (b.heading or not b.header)]
     inside = [b for b in blocks if b.main]
     if inside:
-        sizes: dict[int, int] = defaultdict(int)
-        for b in inside:
-            sizes[b.main] += sum(map(len, b.words))
-        largest = max(sizes, key=sizes.get)
-        blocks = [b for b in inside if b.main == largest] if 2 * sizes[largest] > sum(sizes.values()) else inside
+        blocks = [b for b in inside if not b.teaser] or inside
     out = []
     for b in blocks:
         chars = sum(map(len, b.words))
-        mostly_links = b.linked * 10 > 8 * chars and not b.heading
+        mostly_links = b.linked * 10 > 8 * chars and not b.heading and not b.main
         if not mostly_links and not all((w, b.path) in fixed for w in b.words):
             out.append(" ".join(b.words))
     return "\n".join(out)

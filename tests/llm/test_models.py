@@ -124,6 +124,15 @@ def test_head_without_end_tag():
     assert html_extract.extract(["<head><title>t</title>text <b>bold</b>"]) == ["text bold"]
 
 
+def test_no_part_of_the_article_is_dropped():
+    one = lambda page: html_extract.extract([page])[0]
+    assert one("<main><h1>Title</h1><p>Lead</p><article>body of the whole page</article></main>") == "Title\nLead\nbody of the whole page"
+    assert one("<article><p>the larger part</p></article><article><p>smaller</p></article>") == "the larger part\nsmaller"
+    assert one("<article><p>text</p><ul><li><a href=/1>First source</a><li><a href=/2>Second</a></ul></article>") == "text\nFirst source\nSecond"
+    assert one("<main><p>text</p><article class=comment>no</article><article class='teaser x'><p>more</p></article></main>") == "text"
+    assert one("<div><ul><li><a href=/1>Home</a></ul><p>text</p></div>") == "text"
+
+
 SF = "/root/testdata/sf0.001"
 
 
