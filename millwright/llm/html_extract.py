@@ -24,8 +24,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import materialise
+
 #: Pages that share one deduction, and the fewest unlike pages it needs.
 CHUNK_PAGES, LEAST_PAGES = 64, 3
+#: Characters that end a chunk early.
+CHUNK_CHARS = 16 << 20
 
 #: Element names of HTML by their part in a page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -354,48 +358,76 @@ def _host(url: str | None) -> str:
     return m[1].lower() if m else ""
 
 
-def _dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Adds host and part to rows (page_id, url, html).
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (url) to (host, n), several rows a host where a task has very many hosts."""
+    counts: Counter[str] = Counter()
+    out = lambda: pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["host", "n"])
+    for batch in batches:
+        counts.update(map(_host, batch.column(0).to_pylist()))
+        if len(counts) > 1 << 16:
+            yield out()
+            counts.clear()
+    yield out()
 
-    The first page of a host in a task goes to the host's common part, the next
-    ones to a part that some tasks share, and all further ones to parts of this
-    task. So a small host stays together, and a host with any share of all pages
-    is spread with every task's work.
-    """
-    from pyspark import TaskContext
 
-    task, seen = TaskContext.get().partitionId(), defaultdict(int)
-    for batch in batches:
-        hosts, parts = [], []
-        for url in batch.column(1).to_pylist():
-            host = _host(url)
-            seen[host] += 1
-            n = seen[host]
-            hosts.append(host)
-            parts.append(0 if n == 1 else -1 - task // 16 if n <= 8 else (task << 24) + 1 + (n - 9) // CHUNK_PAGES)
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(hosts), pa.array(parts, pa.int64())], names=["page_id", "url", "html", "host", "part"])
+def host_parts(pages: DataFrame) -> dict[str, int]:
+    """Parts of the hosts with two chunks or more and over 1/1024 of all pages, so 1,023 hosts at most."""
+    per_host = materialise(pages.select("url").mapInArrow(_counted, "host string, n long").groupBy("host").agg(F.sum("n").alias("n")), "hosts")
+    total = per_host.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    return {r["host"]: r["n"] // CHUNK_PAGES for r in per_host.filter((F.col("n") >= 2 * CHUNK_PAGES) & (F.col("n") * 1024 > total)).collect()}
+
+
+def _dealt(parts: dict[str, int]):
+    """Adds host and part to rows (page_id, url, html, hash): a host's pages go to its ``parts`` by their hash."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hosts = [_host(url) for url in batch.column(1).to_pylist()]
+            part = [h % parts.get(host, 1) for host, h in zip(hosts, batch.column(3).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(hosts, pa.string()), pa.array(part, pa.int64())], names=["page_id", "url", "html", "host", "part"])
+
+    return run
+
+
+def chunks(rows: Iterator[tuple]) -> Iterator[list[tuple]]:
+    """Rows (page_id, url, html, host, part), sorted by host and part, in lists that share a deduction.
+
+    A list is full at ``CHUNK_PAGES`` pages, or at 16 MB if it has enough pages
+    for a template. It is passed on only once the next list has enough as well, so
+    a short tail of a part joins the list before it.
+    """
+    held, key, size, full = [], None, 0, 0
+    for row in rows:
+        if held and row[3:] != key:
+            yield held
+            held, size, full = [], 0, 0
+        key = row[3:]
+        held.append(row)
+        size += len(row[2] or "")
+        if not full and (len(held) >= CHUNK_PAGES or size >= CHUNK_CHARS and len(held) >= LEAST_PAGES):
+            full = len(held)
+        elif full and len(held) == full + LEAST_PAGES:
+            yield held[:full]
+            held = held[full:]
+            size = sum(len(r[2] or "") for r in held)
+            full = len(held) if size >= CHUNK_CHARS else 0
+    if held:
+        yield held
 
 
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by host and part to (page_id, url, text), a chunk of a part at a time."""
-    held, key, schema, size = [], None, None, 0
+    kinds = []
 
-    def done() -> pa.RecordBatch:
-        texts = extract([r[2] for r in held])
-        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in held], schema.field(0).type), pa.array([r[1] for r in held], pa.string()), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
+    def rows() -> Iterator[tuple]:
+        for batch in batches:
+            kinds[:] = [batch.schema.field(0).type]
+            for lo in range(0, batch.num_rows, 128):
+                yield from zip(*(c.to_pylist() for c in batch.slice(lo, 128).columns), strict=True)
 
-    for batch in batches:
-        schema = batch.schema
-        for lo in range(0, batch.num_rows, 128):
-            for row in zip(*(c.to_pylist() for c in batch.slice(lo, 128).columns), strict=True):
-                if held and (row[3:] != key or len(held) >= CHUNK_PAGES or size >= 16 << 20):
-                    yield done()
-                    held, size = [], 0
-                key = row[3:]
-                held.append(row)
-                size += len(row[2] or "")
-    if held:
-        yield done()
+    for held in chunks(rows()):
+        texts = extract([r[2] for r in held])
+        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in held], kinds[0]), pa.array([r[1] for r in held], pa.string()), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
 
 def main_texts(pages: DataFrame) -> DataFrame:
@@ -404,6 +436,8 @@ def main_texts(pages: DataFrame) -> DataFrame:
     A null or empty html, and a page without an article, has an empty text. Pages
     without a readable host share the empty host. Hosts with fewer than three
     unlike pages give no template; their slots are judged by element names alone.
+    All other pages share a deduction with two pages of their host at least,
+    however the table is partitioned; copies of one page may stand together.
     White space inside a block becomes one space, blocks are joined by a line
     feed; nothing else of the article is dropped, whatever its length. Repeated
     rows each give a row, a null page_id stays null, other columns are not read,
@@ -411,6 +445,7 @@ def main_texts(pages: DataFrame) -> DataFrame:
     """
     kind = pages.schema["page_id"].dataType
     dealt = T.StructType([T.StructField("page_id", kind), T.StructField("url", T.StringType()), T.StructField("html", T.StringType()), T.StructField("host", T.StringType()), T.StructField("part", T.LongType())])
-    rows = pages.select("page_id", "url", "html").mapInArrow(_dealt, dealt).repartition("host", "part").sortWithinPartitions("host", "part", "page_id")
+    hashed = pages.select("page_id", "url", "html", F.xxhash64("page_id", "url", "html"))
+    rows = hashed.mapInArrow(_dealt(host_parts(pages)), dealt).repartition("host", "part").sortWithinPartitions("host", "part", "page_id")
     out = rows.mapInArrow(_extracted, T.StructType([dealt["page_id"], dealt["url"], T.StructField("text", T.StringType())]))
     return out.withColumn("n_chars", F.length("text").cast("long"))

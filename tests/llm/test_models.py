@@ -133,6 +133,21 @@ def test_no_part_of_the_article_is_dropped():
     assert one("<div><ul><li><a href=/1>Home</a></ul><p>text</p></div>") == "text"
 
 
+@pytest.mark.parametrize("partitions", [1, 7])
+def test_every_page_of_a_host_has_its_template(spark, partitions):
+    page = "<body><div class=x1>Our paper since 1900</div><div class=x2><p>{a}</p></div><div class=x3>All rights are ours</div>"
+    rows = [(100 * h + i, f"http://h{h}.example/{i}", page.format(a=prose(100 * h + i, 30))) for h, n in enumerate((3, 4, 9, 65, 66, 67, 131)) for i in range(n)]
+    got = html_extract.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(partitions)).collect()
+    assert {(r["page_id"], r["text"]) for r in got} == {(i, prose(i, 30)) for i, _, _ in rows} and len(got) == len(rows)
+
+
+def test_chunks(monkeypatch):
+    sizes = lambda n, html="": [len(c) for c in html_extract.chunks(iter([(i, "", html, "h", 0) for i in range(n)]))]
+    assert sizes(64) == [64] and sizes(66) == [66] and sizes(67) == [64, 3] and sizes(130) == [64, 66]
+    monkeypatch.setattr(html_extract, "CHUNK_CHARS", 10)
+    assert sizes(8, "x" * 20) == [3, 5] and sizes(2, "x" * 20) == [2]
+
+
 SF = "/root/testdata/sf0.001"
 
 
