@@ -38,6 +38,20 @@ _WORDS = re.compile(r"[^\W\d_]+")
 _RUNS = [(re.compile(p), r) for p, r in ((r"[A-ZÀ-Þ]", "A"), (r"[^\W\d_A]", "a"), (r"\d", "9"))]
 
 
+def variety(tokens: list[str], window: int = 2000) -> float:
+    """Mean share of distinct words over all windows of ``window`` words, so that length does not count.
+
+    The last window reaches back to be as long as the others; it weighs as much
+    as the words that no window before it has.
+    """
+    n, total = len(tokens), 0.0
+    for lo in range(0, n, window):
+        at = max(min(lo, n - window), 0)
+        part = tokens[at : at + window]
+        total += len(set(part)) / len(part) * min(window, n - lo)
+    return total / max(n, 1)
+
+
 def measures(text: str) -> dict[str, float]:
     """The numbers that labellers and scorer look at."""
     tokens = text.split()
@@ -58,7 +72,7 @@ def measures(text: str) -> dict[str, float]:
         "length": sum(map(len, tokens)) / max(n, 1),
         "same_lines": 1 - len(set(lines)) / max(len(lines), 1),
         "ends": ends / max(len(lines), 1),
-        "variety": len(set(tokens[:2000])) / max(min(n, 2000), 1),
+        "variety": variety(tokens),
         "pieces": (tokens.count("|") + tokens.count("•") + tokens.count(">")) / max(n, 1),
     }
 

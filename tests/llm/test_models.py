@@ -133,6 +133,14 @@ def test_no_part_of_the_article_is_dropped():
     assert one("<div><ul><li><a href=/1>Home</a></ul><p>text</p></div>") == "text"
 
 
+def test_variety_is_that_of_the_whole_text():
+    varied, looped = [f"w{i}" for i in range(2000)], ["a", "b"] * 1000
+    votes_bad = lambda words: quality.LABELLERS["variety"](quality.measures(" ".join(words))) == quality.BAD
+    assert votes_bad(varied + looped * 10) and not votes_bad(looped + varied * 10)
+    assert quality.variety(varied[:100]) == 1 and quality.variety(varied + varied[:1]) == 1 and quality.variety([]) == 0
+    assert quality.variety(looped + varied[:1000]) == pytest.approx((2000 * 2 / 2000 + 1000 * 1002 / 2000) / 3000)
+
+
 @pytest.mark.parametrize("partitions", [1, 7])
 def test_every_page_of_a_host_has_its_template(spark, partitions):
     page = "<body><div class=x1>Our paper since 1900</div><div class=x2><p>{a}</p></div><div class=x3>All rights are ours</div>"
