@@ -78,18 +78,23 @@ def targets(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, overall: float
     return sums.select("src", "source_size", "w", F.least((cap * F.col("source_size")).cast("double"), F.coalesce(bar, F.lit(0.0)) * F.col("w")).alias("target"))
 
 
-def placed(rows: DataFrame, small: DataFrame | None = None) -> DataFrame:
+def bucket_starts(rows: DataFrame) -> DataFrame:
+    """src, bucket, base: the words before a bucket in its source's shuffled stream."""
+    totals = rows.groupBy("src", "bucket").agg(F.sum("size").alias("words"))
+    upto = Window.partitionBy("src").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    return totals.select("src", "bucket", F.coalesce(F.sum("words").over(upto), F.lit(0)).alias("base"))
+
+
+def placed(rows: DataFrame, starts: DataFrame | None = None) -> DataFrame:
     """Adds ``pos``: the words before a document in its source's shuffled stream.
 
-    Sums per bucket come first, so no window holds more than a bucket. ``small``
-    has the same documents with fewer columns, for those sums.
+    Sums per bucket come first, so no window holds more than a bucket. ``starts``
+    has them if they are known; its further columns are added as well.
     """
-    totals = (small or rows).groupBy("src", "bucket").agg(F.sum("size").alias("words"))
-    upto = Window.partitionBy("src").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = totals.select("src", "bucket", F.coalesce(F.sum("words").over(upto), F.lit(0)).alias("base"))
+    starts = bucket_starts(rows) if starts is None else starts
     inner = Window.partitionBy("src", "bucket").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     run = rows.withColumn("run", F.coalesce(F.sum("size").over(inner), F.lit(0)))
-    return run.join(starts, ["src", "bucket"]).withColumn("pos", F.col("base") + F.col("run")).drop("base", "run", "key", "bucket")
+    return run.join(starts, ["src", "bucket"]).withColumn("pos", F.col("base") + F.col("run")).drop("base", "run", "key")
 
 
 def schedule(shares: DataFrame, block_words: int = BLOCK_WORDS, slots_per_chunk: int = 1024) -> DataFrame:
@@ -125,15 +130,20 @@ def schedule(shares: DataFrame, block_words: int = BLOCK_WORDS, slots_per_chunk:
     return kept.union(tail.select((F.col("base") + F.col("rank")).alias("slot"), "src", "rank"))
 
 
+def readings(rows: DataFrame, shares: DataFrame) -> DataFrame:
+    """One row per reading of the stream that reaches a document; ``at`` has the words read before it."""
+    w = rows.filter("size > 0").join(shares.select("src", "source_size", "take"), "src").filter("take > pos")
+    w = w.withColumn("pass", F.explode(F.sequence(F.lit(0), F.floor((F.col("take") - 1 - F.col("pos")) / F.col("source_size")).cast("int"))))
+    return w.withColumn("at", F.col("pos") + F.col("pass") * F.col("source_size"))
+
+
 def pieces(rows: DataFrame, shares: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """The word spans of each document by block of its source's stream.
 
     The stream is read again from its start once it ends, so a document has one
     occurrence per reading; the last reading stops after ``take`` words.
     """
-    w = rows.filter("size > 0").join(shares.select("src", "source_size", "take"), "src").filter("take > pos")
-    w = w.withColumn("pass", F.explode(F.sequence(F.lit(0), F.floor((F.col("take") - 1 - F.col("pos")) / F.col("source_size")).cast("int"))))
-    w = w.withColumn("at", F.col("pos") + F.col("pass") * F.col("source_size"))
+    w = readings(rows, shares)
     w = w.withColumn("end", F.least(F.col("at") + F.col("size"), F.col("take")))
     w = w.withColumn("rank", F.explode(F.sequence(F.floor(F.col("at") / block_words), F.floor((F.col("end") - 1) / block_words))))
     lo, hi = F.greatest("at", F.col("rank") * block_words), F.least("end", (F.col("rank") + 1) * block_words)
@@ -167,13 +177,15 @@ def mix(docs: DataFrame, **options) -> DataFrame:
 
 
 def mixed_documents(docs: DataFrame, seed: str = "mix", **options) -> DataFrame:
-    """The documents as the mix takes them, with the columns of ``docs``.
+    """The documents as the mix takes them and in its order, with the columns of ``docs``.
 
     A document appears once per reading of its source's stream that reaches it.
     Where a reading stops inside a document, that occurrence keeps the words
     before the stop. ``n_chars``, if there, is recomputed for cut texts. Empty
-    documents hold no words to take. ``plan`` has the order of the slots; this is
-    the bag of documents. Whole rows travel once, to the bucket that places them.
+    documents hold no words to take. Rows are sorted by the slot of the block in
+    which an occurrence begins; they are not split where a block ends. Whole rows
+    travel to the bucket that places them, where the slots of its documents are
+    looked up, and then to their place in the order.
     """
     columns = docs.columns
     small = sized(docs.select("doc_id", "text", "source"), seed)
@@ -181,10 +193,15 @@ def mixed_documents(docs: DataFrame, seed: str = "mix", **options) -> DataFrame:
     weights, overall, cap = options.get("weights", WEIGHTS), options.get("overall", OVERALL), options.get("cap", CAP)
     shares = materialise(targets(small, weights, overall, cap).withColumn("take", F.floor("target").cast("long")), "shares")
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("doc")).select("doc", *keyed(F.col("doc.doc_id"), F.col("doc.source"), F.col("doc.text"), seed))
-    at = placed(whole.withColumn("bucket", F.substring("key", 1, digits)), small)
-    w = at.filter("size > 0").join(shares.select("src", "source_size", "take"), "src").filter("take > pos")
-    w = w.withColumn("pass", F.explode(F.sequence(F.lit(0), F.floor((F.col("take") - 1 - F.col("pos")) / F.col("source_size")).cast("int"))))
-    w = w.withColumn("n", F.least("size", F.col("take") - F.col("pos") - F.col("pass") * F.col("source_size")).cast("int"))
+    rank = F.floor(F.col("at") / options.get("block_words", BLOCK_WORDS))
+    starts = materialise(bucket_starts(small), "starts")
+    begun = materialise(readings(placed(small, starts), shares).select("src", "bucket", rank.alias("rank")).distinct(), "begun")
+    order = materialise(schedule(shares, options.get("block_words", BLOCK_WORDS)), "order")
+    slots = begun.join(order, ["src", "rank"]).groupBy("src", "bucket").agg(F.map_from_entries(F.collect_list(F.struct("rank", "slot"))).alias("slots"))
+    slots = materialise(starts.join(slots, ["src", "bucket"]), "bucket-slots")
+    at = placed(whole.withColumn("bucket", F.substring("key", 1, digits)), slots)
+    w = readings(at, shares).withColumn("slot", F.element_at("slots", rank)).drop("slots")
+    w = w.withColumn("n", F.least("size", F.col("take") - F.col("at")).cast("int"))
     text = F.col("doc.text")
     head = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(WORD + r"[\x20\x09-\x0D]*"), F.lit(0)), 1, F.col("n")), "")
     whole_doc = F.col("n") == F.col("size")
@@ -193,4 +210,4 @@ def mixed_documents(docs: DataFrame, seed: str = "mix", **options) -> DataFrame:
     if "n_chars" in out:
         kind = docs.schema["n_chars"].dataType
         out["n_chars"] = F.when(whole_doc, F.col("doc.n_chars")).otherwise(F.length("cut").cast(kind)).alias("n_chars")
-    return w.select(*[out[c] for c in columns])
+    return w.select("slot", "at", F.struct(*[out[c] for c in columns]).alias("row")).orderBy("slot", "at").select(*[F.col(f"row.`{c}`") for c in columns])

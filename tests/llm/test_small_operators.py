@@ -122,6 +122,14 @@ def test_mix(spark):
     assert [r["taken"] for r in mixing.mix(documents(spark, [(1, None, None)])).collect()] == [0]
 
 
+def test_mixed_documents_come_in_slot_order(spark):
+    docs = documents(spark, [(i, prose(i, 1 + i % 40), f"s{i % 7}" if i % 11 else None) for i in range(300)] + [(1002, prose(2, 5000), "huge")])
+    _, _, mixed = mixing.plan(docs, block_words=64)
+    starts = sorted((r["slot"], r["pass"], r["pos"], r["doc_id"]) for r in mixed.filter("from_word = 0").collect())
+    out = [r["doc_id"] for r in mixing.mixed_documents(docs.repartition(5), block_words=64).collect()]
+    assert out == [s[3] for s in starts] and len(out) > 300
+
+
 def test_schedule_spreads_sources(spark):
     shares = spark.createDataFrame([("=a", 5000), ("=b", 3000), ("=c", 70)], "src string, take long")
     rows = sorted((r["slot"], r["src"], r["rank"]) for r in mixing.schedule(shares, 10, slots_per_chunk=16).collect())
