@@ -152,7 +152,7 @@ class Featurizer:
             gap = np.minimum(np.abs(bad - person[np.minimum(at, len(person) - 1)]), np.abs(bad - person[np.maximum(at - 1, 0)]))
             near = int((gap <= 5).sum())
         densest = int((np.searchsorted(bad, bad + 50) - np.arange(len(bad))).max()) if len(bad) else 0
-        kinds = len({tokens[i].lower().strip(".,;:!?") for i in used[(marks & LEARNT) > 0][:200]})
+        kinds = len({tokens[i].lower().strip(".,;:!?") for i in used[(marks & LEARNT) > 0]})
         words, chars = max(n, 1), max(len(text), 1)
         upper = sum(map(text.count, "ABCDEFGHIJKLMNOPQRSTUVWXYZ"))
         marks_of = sum(map(text.count, "*#%&$@~^"))

@@ -49,6 +49,12 @@ def test_obfuscation_is_seen():
     assert f.flags("idiooooot!") & toxicity.STRETCHED and not f.flags("ordinary")
 
 
+def test_kinds_are_counted_over_the_whole_text():
+    f = toxicity.Featurizer({"=badword": 3, "=otherbad": 3, "=thirdbad": 3})
+    kinds = lambda text: f.row(text)[4]
+    assert kinds("badword " * 300 + "otherbad thirdbad") == 3 == kinds("badword otherbad thirdbad")
+
+
 def test_isotonic_is_increasing():
     rng = np.random.default_rng(1)
     m = rng.random(300)
