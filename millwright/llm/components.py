@@ -63,8 +63,17 @@ def connected_components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
 
 
 def merged_components(parts: DataFrame, edges: DataFrame) -> DataFrame:
-    """``parts`` (node, component) after more edges (u, v) between its nodes; only components that edges touch are worked on."""
-    of = lambda name: parts.select(F.col("node").alias(name), F.col("component").alias(f"c_{name}"))
-    between = edges.join(of("u"), "u").join(of("v"), "v").select("c_u", "c_v")
+    """``parts`` (node, component) after more edges (u, v); only components that edges touch are worked on.
+
+    A node that ``parts`` lacks is a component of its own before.
+    """
+
+    def of(name: str) -> DataFrame:
+        return parts.select(F.col("node").alias(name), F.col("component").alias(f"c_{name}"))
+
+    ends = edges.toDF("u", "v").join(of("u"), "u", "left").join(of("v"), "v", "left")
+    between = ends.select(F.coalesce("c_u", "u").alias("u"), F.coalesce("c_v", "v").alias("v"))
     moved = connected_components(between).select(F.col("node").alias("component"), F.col("component").alias("to"))
-    return parts.join(moved, "component", "left").select("node", F.coalesce("to", "component").alias("component"))
+    old = parts.join(moved, "component", "left").select("node", F.coalesce("to", "component").alias("component"))
+    new = moved.select(F.col("component").alias("node"), F.col("to").alias("component")).join(parts.select("node"), "node", "left_anti")
+    return old.union(new)

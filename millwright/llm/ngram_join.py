@@ -6,16 +6,18 @@ shingle. A query set can only link into a group that holds enough of its
 shingles, so only such groups are opened.
 
 The matrix is stored by its rows, shingle to groups, and only on rare shingles:
-in any fixed order of the shingles two sets with Jaccard similarity t share one
-of their first |X| - ceil(t |X|) + 1. The order is by a count sketch of fixed
-size, so that common passages come last; it steers cost only, the result is exact
-for any sketch. A candidate group's full union is formed when its texts are at
-hand, and bounds each query's overlap before any member is compared.
+in any fixed order of the shingles two sets with Jaccard similarity t share c
+of their first |X| - ceil(t |X|) + c. The order is by a sketch of fixed size that
+counts the shingles which recur within a block of documents, so that common
+passages come last; it steers cost only, the result is exact for any sketch. A
+candidate group's full union is formed when its texts are at hand, and bounds
+each query's overlap before any member is compared.
 
 Only components are asked for, so two groups need one link, not all of them, and
-groups already in one component need none: a first round compares each group
-with the first few groups of its matrix rows, the second those pairs of groups
-whose components still differ.
+groups already in one component need none. A matrix row pairs its groups with the
+first few of them: a first round compares each group with the one of these that
+it shares most with, the second with the rest of them, the third any two groups
+of a long row, and each round leaves out groups that are in one component.
 
 Before texts travel, parity bitmaps of the sets (about two bits per shingle) bound
 each overlap from above: sets that differ in more bits than links allow are out.
@@ -23,7 +25,6 @@ each overlap from above: sets that differ in more bits than links allow are out.
 
 from __future__ import annotations
 
-import hashlib
 import zlib
 from collections.abc import Iterator
 
@@ -33,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialise
+from .common import drop_scratch, materialise, stored
 from .components import connected_components, merged_components
 from .shingles import Shingler, overlap, set_id
 from .tokens import text_slices
@@ -45,9 +46,13 @@ PERCENT = 75
 CELL_BITS, SLICES = 21, 64
 #: Sets held at once while a task forms groups, and the most members of a group.
 BLOCK_SETS, GROUP_SETS = 4096, 32
-#: First groups of a matrix row that all its groups are compared with in the first round.
+#: First groups of a matrix row that all its groups are paired with; longer rows come again in the third round.
 LEADS = 8
-#: Groups of a matrix row that meet in one task in the second round; longer rows are cut into pairs of blocks.
+#: Rare shingles that linked sets share at least, if they have so many in common at all.
+LEAST_SHARED = 4
+#: Shingles of a block in which recurring ones are counted.
+BLOCK_SHINGLES = 1 << 20
+#: Groups of a matrix row that meet in one task in the third round; longer rows are cut into pairs of blocks.
 ROW_BLOCK = 1024
 #: Bits of the filter that spares texts of unasked documents the way; fixed.
 FILTER_BITS = 23
@@ -62,19 +67,37 @@ def least_overlap(n: int, percent: int = PERCENT) -> int:
     return -(-percent * n // 100)
 
 
+def least_shared(n: int, percent: int = PERCENT) -> int:
+    """The fewest rare shingles that a set of n shares with any set that it links with and that needs no fewer."""
+    return min(LEAST_SHARED, least_overlap(n, percent))
+
+
+def _recurring(sets: list[np.ndarray], cells: np.ndarray) -> None:
+    """Adds the counts of shingles that stand in more than one of ``sets``."""
+    x, n = np.unique(np.concatenate(sets), return_counts=True)
+    x, n = x[n > 1], n[n > 1]
+    np.add.at(cells, (x >> np.uint64(64 - CELL_BITS)).astype(np.int64), n.astype(np.uint32))
+
+
 def _profile(words: int):
     """(doc_id, text) to one row per document, and the task's sketch in slices."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, cells = Shingler(words), np.zeros(1 << CELL_BITS, np.uint32)
-        schema = None
+        block, size, any_row = [], 0, False
         for ids, texts in text_slices(batches):
             sets = list(shingler.sets(texts))
-            np.add.at(cells, (np.concatenate(sets) >> np.uint64(64 - CELL_BITS)).astype(np.int64), 1)
+            block += sets
+            size += sum(map(len, sets))
+            if size >= BLOCK_SHINGLES:
+                _recurring(block, cells)
+                block, size = [], 0
             k = len(ids)
             yield _rows(ids, [len(s) for s in sets], [set_id(s) if len(s) else None for s in sets], [None] * k, [None] * k)
-            schema = True
-        if schema:
+            any_row = True
+        if block:
+            _recurring(block, cells)
+        if any_row:
             for i, part in enumerate(np.split(cells, SLICES)):
                 yield _rows([None], [None], [None], [i], [zlib.compress(np.minimum(part, 65535).astype("<u2").tobytes(), 1)])
 
@@ -106,8 +129,8 @@ def _sketch(profile: DataFrame) -> np.ndarray:
 
 
 def rare_first(s: np.ndarray, sketch: np.ndarray, percent: int) -> np.ndarray:
-    """The shingles of which any set that links with s must share one within its own such part."""
-    keep = len(s) - least_overlap(len(s), percent) + 1
+    """The shingles of which any set that links with s must share ``least_shared`` within its own such part."""
+    keep = len(s) - least_overlap(len(s), percent) + least_shared(len(s), percent)
     count = sketch[(s >> np.uint64(64 - sketch.size.bit_length() + 1)).astype(np.int64)]
     return s[np.lexsort((s, count))[:keep]]
 
@@ -143,18 +166,19 @@ def _folded(x: int, bits: int, to: int) -> int:
 class Groups:
     """Groups of the sets that one task holds at a time."""
 
-    def __init__(self, percent: int, sketch: np.ndarray, tag: bytes) -> None:
-        self.percent, self.sketch, self.tag = percent, sketch, tag
+    def __init__(self, percent: int, sketch: np.ndarray, part: int, block: int) -> None:
+        self.percent, self.sketch, self.base = percent, sketch, part << 39 | block << 13
         self.index: dict[int, int] = {}
         self.seen: set[int] = set()
         self.lead: list[tuple[int, np.ndarray]] = []
         self.members: list[list[tuple[int, int, bytes]]] = []
         self.shingles: list[set[int]] = []
         self.beside: list[tuple[int, int]] = []
+        self.weight: list[int] = []
 
     def name(self, g: int) -> int:
-        raw = self.tag + self.lead[g][0].to_bytes(8, "little", signed=True)
-        return int.from_bytes(hashlib.blake2b(raw, digest_size=8).digest(), "little", signed=True)
+        """The task, its block and a running number: near numbers take few bytes in a shuffle."""
+        return self.base | g
 
     def add(self, sid: int, s: np.ndarray) -> None:
         if sid in self.seen:
@@ -173,36 +197,39 @@ class Groups:
                 break
         if home is None or len(self.members[home]) >= GROUP_SETS:
             if home is not None:
-                self.beside.append((sid, self.lead[home][0]))
+                self.beside.append((len(self.lead), home))
             home = len(self.lead)
             self.lead.append((sid, s))
             self.members.append([])
             self.shingles.append(set())
+            self.weight.append(1)
         self.members[home].append((sid, len(s), parity(s)))
+        if least_shared(len(s), self.percent) < LEAST_SHARED:
+            self.weight[home] = LEAST_SHARED  # too small to share so many: one is enough
         self.shingles[home].update(rare)
         for x in rare:
             self.index[x] = home
 
     def batches(self) -> Iterator[pa.RecordBatch]:
-        """Rows (shingle, gid), then (gid, sid) of members, then (sid, sid) of links between groups."""
+        """Rows (shingle, gid, weight), then (gid, sid, size, bitmap) of members, then (gid, gid) of linked groups."""
         names = [self.name(g) for g in range(len(self.lead))]
         for lo in range(0, len(names), 512):
             part = range(lo, min(lo + 512, len(names)))
+            sizes = [len(self.shingles[g]) for g in part]
             token = np.concatenate([np.fromiter(self.shingles[g], np.uint64, len(self.shingles[g])) for g in part])
-            gid = np.repeat(np.array([names[g] for g in part], np.int64), [len(self.shingles[g]) for g in part])
-            yield _entries(0, token.view(np.int64), gid)
+            gid = np.repeat(np.array([names[g] for g in part], np.int64), sizes)
+            yield _entries(0, token.view(np.int64), gid, np.repeat(np.array([self.weight[g] for g in part], np.int32), sizes))
         rows = [(names[g], *m) for g, own in enumerate(self.members) for m in own]
         for lo in range(0, len(rows), 4096):
             a, b, n, bits = zip(*rows[lo : lo + 4096], strict=True)
             yield _entries(1, np.array(a, np.int64), np.array(b, np.int64), n, bits)
         if self.beside:
-            a, b = np.array(self.beside, np.int64).T
-            yield _entries(2, np.ascontiguousarray(a), np.ascontiguousarray(b))
+            yield _entries(2, np.array([names[g] for g, _ in self.beside], np.int64), np.array([names[h] for _, h in self.beside], np.int64))
 
 
 def _entries(kind: int, a: np.ndarray, b: np.ndarray, n=None, bits=None) -> pa.RecordBatch:
-    nothing = [None] * len(a) if n is None else None
-    return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int8)), pa.array(a), pa.array(b), pa.array(nothing or n, pa.int32()), pa.array(nothing or bits, pa.binary())], names=["kind", "a", "b", "n", "bits"])
+    nothing = pa.nulls(len(a), pa.int32()) if n is None else pa.array(n, pa.int32())
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int8)), pa.array(a), pa.array(b), nothing, pa.nulls(len(a), pa.binary()) if bits is None else pa.array(bits, pa.binary())], names=["kind", "a", "b", "n", "bits"])
 
 
 def _group(words: int, percent: int, sketch) -> object:
@@ -215,7 +242,7 @@ def _group(words: int, percent: int, sketch) -> object:
                 if doc_id is None or not len(s):
                     continue
                 if held is None:
-                    held, size = Groups(percent, sketch.value, b"%d-%d-" % (part, block)), 0
+                    held, size = Groups(percent, sketch.value, part, block), 0
                 held.add(set_id(s), s)
                 size += len(s)
                 if len(held.seen) >= BLOCK_SETS or size >= 4 << 20:
@@ -227,36 +254,60 @@ def _group(words: int, percent: int, sketch) -> object:
     return run
 
 
+ROWS = "kind byte, a long, b long, n int, bits binary"
+SHARED = "kind byte, a long, b long, n int, bits binary, lead long, first boolean, far boolean"
+
+
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (shingle, gid) sorted by both to (shingle, gid, lead, j).
+    """Matrix rows sorted by shingle and gid to the shingles that several groups hold; other kinds pass.
 
-    Each group of a shingle meets the first ``LEADS`` groups before it, lead j
-    being the j-th of them. A shingle of one group gives no row.
+    Each group of a shingle meets the first ``LEADS`` groups before it: b is the
+    group, n the larger of the two weights, ``first`` marks one row per group.
+    ``far`` marks rows of shingles with more than ``LEADS`` + 1 groups, of which
+    not all pairs are made; ``lead`` of their first row is the row's first group.
+    What is carried from batch to batch is at most ``LEADS`` + 1 entries.
     """
-    token = last = None
-    leads: list[int] = []
-    for batch in batches:
-        a, b = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        new = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))[: len(a)]
-        if len(a) and token is not None and a[0] == token and b[0] == last:
-            new[0] = False
-        a, b = a[new], b[new]
-        if not len(a):
-            continue
-        held = leads if token is not None and a[0] == token else []
-        a_all = np.concatenate([np.full(len(held), a[0]), a])
-        b_all = np.concatenate([np.array(held, np.int64), b])
-        start = np.append(True, a_all[1:] != a_all[:-1])
-        first = np.maximum.accumulate(np.where(start, np.arange(len(a_all)), 0))
-        rank = np.arange(len(a_all)) - first
-        fresh = np.arange(len(a_all)) >= len(held)
+    held = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int32)
+    done = 0  # entries of the held shingle whose rows are already out
+
+    def rows(a, b, w, skip: int) -> Iterator[pa.RecordBatch]:
+        start = np.append(True, a[1:] != a[:-1])
+        first = np.maximum.accumulate(np.where(start, np.arange(len(a)), 0))
+        rank = np.arange(len(a)) - first
+        far = np.diff(np.append(np.flatnonzero(start), len(a)))[np.cumsum(start) - 1] > LEADS + 1
+        fresh = np.arange(len(a)) >= skip
         for j in range(LEADS):
             at = np.flatnonzero((rank > j) & fresh)
             if not len(at):
-                break
-            yield pa.RecordBatch.from_arrays([pa.array(a_all[at]), pa.array(b_all[at]), pa.array(b_all[first[at] + j]), pa.array(np.full(len(at), j, np.int8))], names=["token", "gid", "lead", "j"])
-        tail = int(first[-1])
-        token, last, leads = a_all[-1], b_all[-1], b_all[tail : tail + LEADS].tolist()
+                return
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.zeros(len(at), np.int8)), pa.array(a[at]), pa.array(b[at]), pa.array(np.maximum(w[at], w[first[at] + j])), pa.nulls(len(at), pa.binary()), pa.array(b[first[at] + j]), pa.array(np.full(len(at), j == 0)), pa.array(far[at])],
+                names=["kind", "a", "b", "n", "bits", "lead", "first", "far"],
+            )
+
+    for batch in batches:
+        kind = batch.column(0).to_numpy()
+        others = batch.filter(pa.array(kind != 0))
+        if others.num_rows:
+            k = others.num_rows
+            yield pa.RecordBatch.from_arrays([*others.columns, pa.nulls(k, pa.int64()), pa.nulls(k, pa.bool_()), pa.nulls(k, pa.bool_())], names=["kind", "a", "b", "n", "bits", "lead", "first", "far"])
+        batch = batch.filter(pa.array(kind == 0))
+        if not batch.num_rows:
+            continue
+        a, b, w = (np.concatenate([x, batch.column(i).to_numpy()]) for i, x in zip((1, 2, 3), held, strict=True))
+        new = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))
+        a, b, w = a[new], b[new], w[new]
+        tail = int(np.flatnonzero(np.append(True, a[1:] != a[:-1]))[-1])
+        upto = len(a) if len(a) - tail > LEADS + 1 else tail
+        if upto:
+            yield from rows(a[:upto], b[:upto], w[:upto], done)
+        more = upto == len(a)
+        held = tuple(x[tail : tail + LEADS + 2] if more else x[tail:] for x in (a, b, w))
+        if more and len(a) - tail > LEADS + 2:
+            held = tuple(np.append(x, y[-1]) for x, y in zip(held, (a, b, w), strict=True))  # the last entry tells repeats
+        done = len(held[0]) if more else 0
+    if len(held[0]) > done:
+        yield from rows(*held, done)
 
 
 def _across(percent: int):
@@ -349,7 +400,7 @@ def _open(words: int, percent: int):
         shingler, held = Shingler(words), {}
 
         def compared(rows: list[tuple]) -> pa.RecordBatch:
-            """Links of some pairs; all their texts are shingled at once, those of the last pairs are at hand."""
+            """Linked groups among some pairs; all their texts are shingled at once, those of the last pairs are at hand."""
             nonlocal held
             members = {gid: own for g, of_g, h, of_h in rows for gid, own in ((g, of_g), (h, of_h))}
             new = [(gid, m["sid"], m["text"]) for gid, own in members.items() if gid not in held for m in own]
@@ -357,7 +408,7 @@ def _open(words: int, percent: int):
             for (gid, sid, _), s in zip(new, shingler.sets([t for _, _, t in new]), strict=True):
                 if set_id(s) == sid:
                     held[gid][sid] = s
-            found = [x for g, _, h, _ in rows if (x := group_link(held[g], held[h], percent))]
+            found = [(g, h) for g, _, h, _ in rows if group_link(held[g], held[h], percent)]
             a, b = np.array(found, np.int64).reshape(-1, 2).T
             return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(a)), pa.array(np.ascontiguousarray(b))], names=["u", "v"])
 
@@ -394,10 +445,7 @@ def shingle_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     rows = profile.filter("piece is null").select("doc_id", "n", "sid")
     known = rows.filter("doc_id is not null and sid is not null")
     owners = known.groupBy("sid").agg(F.min("doc_id").alias("first"))
-    parts = set_components(texts, owners, spark.sparkContext.broadcast(_sketch(profile)), words, percent)
-    named = owners.join(parts.withColumnRenamed("node", "sid"), "sid", "left").withColumn("part", F.coalesce("component", "sid"))
-    smallest = named.groupBy("part").agg(F.min("first").alias("component_id"))
-    of_set = named.join(smallest, "part").select("sid", "component_id")
+    of_set = set_components(texts, owners, spark.sparkContext.broadcast(_sketch(profile)), words, percent)
     linked = known.join(of_set, "sid").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     alone = rows.filter("doc_id is null or sid is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return linked.union(alone)
@@ -415,43 +463,65 @@ def one_per_component(docs: DataFrame, words: int = WORDS, percent: int = PERCEN
 
 
 def set_components(texts: DataFrame, owners: DataFrame, sketch, words: int, percent: int) -> DataFrame:
-    """Components (node, component) of the sets that link with another; nodes also name groups."""
-    made = materialise(texts.mapInArrow(_group(words, percent, sketch), "kind byte, a long, b long, n int, bits binary"), "matrix")
+    """sid, component_id: the smallest doc_id of the component of each set; ``owners`` has sid, first (doc_id)."""
+    made = texts.mapInArrow(_group(words, percent, sketch), ROWS)
+    made = made.repartition("a").sortWithinPartitions("a", "b").mapInArrow(_shared, SHARED)
+    made = materialise(made, "matrix")
     members = made.filter("kind = 1").select(F.col("a").alias("gid"), F.col("b").alias("sid"), "n", "bits")
-    inside = made.filter("kind > 0").select(F.col("a").alias("u"), F.col("b").alias("v"))
-    matrix = made.filter("kind = 0").select(F.col("a").alias("token"), F.col("b").alias("gid"))
-    matrix = matrix.repartition("token").sortWithinPartitions("token", "gid")
-    shared = materialise(matrix.mapInArrow(_shared, "token long, gid long, lead long, j byte"), "shared")
+    inside = made.filter("kind = 2").select(F.col("a").alias("u"), F.col("b").alias("v"))
+    shared = made.filter("kind = 0").select(F.col("a").alias("token"), F.col("b").alias("gid"), "lead", F.col("n").alias("w"), "first", "far")
 
     def both_sides(pairs: DataFrame, of: DataFrame) -> DataFrame:
         left = of.select(F.col("gid").alias("g"), F.col("members").alias("of_g"))
         right = of.select(F.col("gid").alias("h"), F.col("members").alias("of_h"))
         return pairs.join(left, "g").join(right, "h").select("g", "of_g", "h", "of_h")
 
+    def groups(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.col("g").alias("gid")).union(pairs.select("h")).distinct()
+
     def marks(asked: DataFrame) -> DataFrame:
         return members.join(asked, "gid").groupBy("gid").agg(F.collect_list(F.struct("sid", "n", "bits")).alias("members"))
 
-    def opened(left: DataFrame) -> DataFrame:
-        """Links found in pairs of groups that bitmaps do not rule out."""
-        asked = left.select(F.col("g").alias("gid")).union(left.select("h")).distinct()
-        where = materialise(members.join(asked, "gid").join(owners, "sid").select("gid", "sid", F.col("first").alias("doc_id")), "asked")
+    def bounded(pairs: DataFrame) -> DataFrame:
+        return both_sides(pairs, marks(groups(pairs))).mapInArrow(_bounded(percent), "g long, h long")
+
+    def opened(pairs: DataFrame) -> DataFrame:
+        """Links (gid, gid) found in pairs of groups that bitmaps do not rule out."""
+        left, left_path = stored(pairs, "bounded")
+        where, where_path = stored(members.select("gid", "sid").join(groups(left), "gid").join(owners, "sid").select("gid", "sid", F.col("first").alias("doc_id")), "asked")
         load = where.join(_filtered(texts, where), "doc_id").groupBy("gid").agg(F.collect_list(F.struct("sid", "text")).alias("members"))
-        load = materialise(load, "members")
-        return materialise(both_sides(left, load).mapInArrow(_open(words, percent), "u long, v long"), "found")
-
-    first = materialise(shared.select(F.col("lead").alias("g"), F.col("gid").alias("h")).distinct(), "pairs")
-    asked = first.select(F.col("g").alias("gid")).union(first.select("h")).distinct()
-    left = materialise(both_sides(first, marks(asked)).mapInArrow(_bounded(percent), "g long, h long"), "bounded")
-    parts = materialise(connected_components(inside.union(opened(left))), "parts")
-    entries = shared.filter("j = 0")
-    entries = entries.select("token", "gid").union(entries.select("token", "lead").distinct())
-    entries = entries.join(parts.select(F.col("node").alias("gid"), F.col("component").alias("part")), "gid")
-    mixed = entries.groupBy("token").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.count("*").alias("n")).filter(f"lo != hi and n > {LEADS}").select("token", "n")
-    entries = materialise(entries.join(mixed, "token"), "open")
+        load, load_path = stored(load, "members")
+        found = materialise(both_sides(left, load).mapInArrow(_open(words, percent), "u long, v long"), "found")
+        for path in (left_path, where_path, load_path):
+            drop_scratch(texts.sparkSession, path)
+        return found
+
+    first = shared.groupBy(F.col("lead").alias("g"), F.col("gid").alias("h")).agg(F.sum("w").alias("s")).filter(F.col("s") >= LEAST_SHARED)
+    first = materialise(first, "pairs")
+    best = first.groupBy("h").agg(F.max_by("g", F.struct("s", "g")).alias("g")).select("g", "h")
+    same = members.groupBy("sid").agg(F.min("gid").alias("v"))
+    same = members.select("sid", F.col("gid").alias("u")).join(same, "sid").select("u", "v").filter("u != v")
+    parts = materialise(connected_components(inside.union(same).union(opened(bounded(best)))), "parts")
+
+    def part_of(name: str, parts: DataFrame) -> DataFrame:
+        return parts.select(F.col("node").alias(name), F.col("component").alias(f"{name}_part"))
+
+    rest = first.select("g", "h").join(part_of("g", parts), "g", "left").join(part_of("h", parts), "h", "left")
+    rest = rest.filter("coalesce(g_part, g) != coalesce(h_part, h)").select("g", "h")
+    parts = materialise(merged_components(parts, opened(bounded(rest))), "parts")
+    far = shared.filter("first and far")
+    far = far.select("token", "gid").union(far.select("token", "lead").distinct())
+    far = far.join(part_of("gid", parts), "gid", "left").select("token", "gid", F.coalesce("gid_part", "gid").alias("part"))
+    mixed = far.groupBy("token").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.count("*").alias("n"), F.bit_xor(F.xxhash64("gid")).alias("held_by")).filter("lo != hi")
+    mixed = mixed.groupBy("held_by", "n").agg(F.min("token").alias("token")).select("token", "n")  # shingles of one passage have the same row
+    entries = materialise(far.join(mixed, "token"), "open")
     blocks = F.ceil(F.col("n") / ROW_BLOCK).cast("int")
     cells = entries.withColumn("own", F.pmod(F.xxhash64("gid"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     cells = cells.withColumns({"lo": F.least("own", "other"), "hi": F.greatest("own", "other")}).withColumn("side", (F.col("own") != F.col("lo")).cast("int"))
     cells = cells.join(marks(entries.select("gid").distinct()), "gid").select("token", "lo", "hi", "gid", "part", "side", "members")
-    pairs = cells.groupBy("token", "lo", "hi").applyInArrow(_across(percent), "g long, h long").distinct()
-    pairs = materialise(pairs.join(first, ["g", "h"], "left_anti"), "pairs")
-    return merged_components(parts, opened(pairs))
+    across = cells.groupBy("token", "lo", "hi").applyInArrow(_across(percent), "g long, h long").distinct()
+    parts = merged_components(parts, opened(across))
+    at = members.groupBy("sid").agg(F.min("gid").alias("gid")).join(owners, "sid")
+    named = at.join(parts.withColumnRenamed("node", "gid"), "gid", "left").select("sid", "first", F.coalesce("component", "gid").alias("part"))
+    smallest = named.groupBy("part").agg(F.min("first").alias("component_id"))
+    return named.join(smallest, "part").select("sid", "component_id")

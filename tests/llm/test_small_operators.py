@@ -14,7 +14,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from millwright.llm import exact_dedup, mixing, ngram_join, packing, token_files, tokens, vector_dedup, warc
-from millwright.llm.components import connected_components
+from millwright.llm.components import connected_components, merged_components
 from millwright.llm.shingles import Shingler
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -225,14 +225,60 @@ def test_bitmaps_lose_no_link(a, more, drop):
     assert ngram_join.may_link(len(x), ngram_join.parity(x), len(y), ngram_join.parity(y))
 
 
-def test_shared_rows_across_batches():
-    a = [1, 2, 2, 2, 2, 3, 5, 5, 5]
-    b = [7, 1, 2, 2, 9, 4, 1, 2, 3]
-    want = {(2, 2, 1, 0), (2, 9, 1, 0), (2, 9, 2, 1), (5, 2, 1, 0), (5, 3, 1, 0), (5, 3, 2, 1)}
-    for step in range(1, 10):
-        batches = [pa.RecordBatch.from_arrays([pa.array(a[i : i + step]), pa.array(b[i : i + step])], names=["t", "g"]) for i in range(0, len(a), step)]
-        got = {tuple(r) for out in ngram_join._shared(iter(batches)) for r in zip(*(c.to_pylist() for c in out.columns), strict=True)}
-        assert got == want
+def brute_rows(a, b):
+    rows = {}
+    for t, g in zip(a, b, strict=True):
+        if g not in rows.setdefault(t, []):
+            rows[t].append(g)
+    far = {t: len(own) > ngram_join.LEADS + 1 for t, own in rows.items()}
+    return {(t, g, own[j], j == 0, far[t]) for t, own in rows.items() for k, g in enumerate(own) for j in range(min(k, ngram_join.LEADS))}
+
+
+@pytest.mark.parametrize("step", range(1, 30))
+def test_shared_rows_across_batches(step):
+    a = [1, 2, 2, 2, 2, 3, 5, 5, 5] + [6] * 9 + [7] * 10 + [8] * 25 + [9] * 25 + [10]
+    b = [7, 1, 2, 2, 9, 4, 1, 2, 3, *range(9), *range(10), *range(25), *range(12), *range(11, 24), 1]
+    k = len(a)
+    rows = pa.RecordBatch.from_arrays([pa.array([0] * k, pa.int8()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array([1] * k, pa.int32()), pa.nulls(k, pa.binary())], names=["kind", "a", "b", "n", "bits"])
+    batches = [rows.slice(i, step) for i in range(0, k, step)]
+    got = [r for out in ngram_join._shared(iter(batches)) for r in out.to_pylist()]
+    assert len(got) == len(brute_rows(a, b))
+    assert {(r["a"], r["b"], r["lead"], r["first"], r["far"]) for r in got} == brute_rows(a, b)
+
+
+def test_members_pass_between_matrix_rows():
+    own = [(0, 1, 5, 1, None), (1, 1, 77, 3, b"x"), (0, 1, 6, 4, None), (2, 2, 3, None, None)]
+    rows = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*own, strict=True), (pa.int8(), pa.int64(), pa.int64(), pa.int32(), pa.binary()), strict=True)], names=["kind", "a", "b", "n", "bits"])
+    got = [r for out in ngram_join._shared(iter([rows])) for r in out.to_pylist()]
+    assert sorted((r["kind"], r["a"], r["b"], r["n"], r["lead"]) for r in got if r["kind"]) == [(1, 1, 77, 3, None), (2, 2, 3, None, None)]
+    assert [(r["a"], r["b"], r["n"], r["lead"]) for r in got if not r["kind"]] == [(1, 6, 4, 5)]
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.sets(st.integers(0, 2**64 - 1), min_size=1, max_size=60), st.sets(st.integers(0, 2**64 - 1), max_size=20), st.integers(0, 59), st.integers(0, 9))
+def test_linked_sets_share_rare_shingles(a, more, drop, seed):
+    b = set(sorted(a)[drop:]) | more
+    if not b or not ngram_join.links(len(a & b), len(a), len(b)):
+        return
+    sketch = np.random.default_rng(seed).integers(0, 3, 1 << 8).astype(np.uint32)
+    x, y = (np.array(sorted(s), np.uint64) for s in (a, b))
+    common = np.intersect1d(ngram_join.rare_first(x, sketch, 75), ngram_join.rare_first(y, sketch, 75))
+    assert len(common) >= min(ngram_join.least_shared(len(x)), ngram_join.least_shared(len(y)))
+
+
+@pytest.mark.parametrize("leads", [1, 2])
+def test_long_matrix_rows(spark, monkeypatch, leads):
+    monkeypatch.setattr(ngram_join, "LEADS", leads)
+    passage = prose(71, 40)
+    rows = [(k, passage + " " + prose(600 + k // 2, 11), "s") for k in range(60)]
+    got = ngram_join.shingle_components(documents(spark, rows).repartition(4))
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == brute_components(rows)
+
+
+def test_components_merge_with_unknown_nodes(spark):
+    parts = spark.createDataFrame([(1, 1), (2, 1), (5, 5), (6, 5)], "node long, component long")
+    edges = spark.createDataFrame([(2, 9), (9, 8), (20, 21)], "u long, v long")
+    assert dict(merged_components(parts, edges).collect()) == {1: 1, 2: 1, 5: 5, 6: 5, 8: 1, 9: 1, 20: 20, 21: 20}
 
 
 def test_components(spark):
