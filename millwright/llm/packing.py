@@ -38,7 +38,8 @@ def best_fill(counts: dict[int, int], capacity: int, first: int | None = None) -
     if first is not None:
         reach, taken[first] = 1 << first, 1
     top = 1 << capacity
-    for length in sorted(counts, reverse=True):
+    room = capacity - (first or 0)
+    for length in sorted((n for n in counts if n <= room), reverse=True):
         left = min(counts[length] - taken.get(length, 0), capacity // length)
         bundle = 1
         while left > 0 and not reach & top:

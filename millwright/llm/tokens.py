@@ -10,15 +10,19 @@ from __future__ import annotations
 
 import os
 import re
-import sys
-from array import array
-from itertools import chain
+
+import numpy as np
 
 #: The characters with the Unicode property White_Space.
 _WS = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 _MARKS = ".,;:!?#$%&*()|\"-+=/@^~"
+#: Stands between parts that are encoded in one string; parts that hold it are encoded alone.
+_BAR = "|"
+_JOINED = 128
+#: Characters whose lower case or composition may depend on others; texts without them are lower-cased at once.
+_UNSAFE = re.compile(r"[^\x00-\x7f\xa1-\xff\u0152\u0153\u2010-\u201f\u2026\u20ac]").search
 
 
 class Encoder:
@@ -29,73 +33,98 @@ class Encoder:
     that do so.
     """
 
-    def __init__(self, path: str, leading: bool, width: int = 4, cache_entries: int = 700_000) -> None:
+    def __init__(self, path: str, leading: bool, width: int = 4, cache_entries: int = 600_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
         self._cache: dict[str, bytes] = {}
         self._most, self._missed = cache_entries, 0
-        self._folds = not leading
-        self._kind = {2: "H", 4: "I"}[width]
+        self._folds, self._width = not leading, width
         self._split = re.compile(rf"[{_WS}]*[^{_WS}]+|[{_WS}]+" if leading else rf"[^{_WS}]+").findall
         added = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
         self._added = re.compile("|".join(map(re.escape, added))).search if added else lambda _: None
         self._many = getattr(self._tokenizer, "encode_batch_fast", self._tokenizer.encode_batch)
+        self._bar = f" {_BAR}" if leading else f" {_BAR} "
+        bar = self._tokenizer.encode(self._bar, add_special_tokens=False).ids
+        self._bar_id = bar[0] if len(bar) == 1 else None
+        #: Parts that end where the bar begins and begin where it ends.
+        self._joins = re.compile(rf"[{_WS}][^{_BAR}]*[^{_BAR}{_WS}]" if leading else rf"[^{_BAR}]+").fullmatch
 
     def _pack(self, ids: list[int]) -> bytes:
-        packed = array(self._kind, ids)
-        if sys.byteorder == "big":
-            packed.byteswap()
-        return packed.tobytes()
-
-    def _parts(self, chunk: str) -> tuple[str, ...]:
-        """What a chunk is encoded as: the word and the marks after it, in lower case where the vocabulary has no other.
-
-        A letter followed by marks ends a unit of both vocabularies; the
-        apostrophe, which may belong to the word, is none of these marks.
-        """
-        word = chunk.rstrip(_MARKS)
-        if len(word) == len(chunk) or not word or not word[-1].isalpha():
-            return (chunk.lower(),) if self._folds and chunk.isascii() else (chunk,)
-        if self._folds and word.isascii():
-            word = word.lower()
-        return word, chunk[len(word) :]
+        return np.array(ids, f"<u{self._width}").tobytes()
 
     def whole(self, text: str) -> bytes:
         return self._pack(self._tokenizer.encode(text, add_special_tokens=False).ids)
 
+    def _parts(self, parts: list[str]) -> dict[str, bytes]:
+        """Ids of distinct parts, many to a string with bars between them."""
+        out, alone = {}, parts
+        if self._bar_id is not None:
+            joined = list(filter(self._joins, parts))
+            alone = list(set(parts).difference(joined)) if len(joined) < len(parts) else []
+            blocks = [joined[i : i + _JOINED] for i in range(0, len(joined), _JOINED)]
+            for lo in range(0, len(blocks), 64):
+                some = blocks[lo : lo + 64]
+                for block, e in zip(some, self._many([self._bar.join(x) for x in some], add_special_tokens=False), strict=True):
+                    ids = np.array(e.ids, f"<u{self._width}")
+                    ends = [*(np.flatnonzero(ids == self._bar_id) * self._width).tolist(), ids.nbytes]
+                    raw, at = ids.tobytes(), 0
+                    if len(ends) != len(block):  # no such bar: not met, but nothing may rest on it
+                        alone += block
+                        continue
+                    for part, end in zip(block, ends, strict=True):
+                        out[part] = raw[at:end]
+                        at = end + self._width
+        for lo in range(0, len(alone), 20_000):
+            some = alone[lo : lo + 20_000]
+            out.update((part, self._pack(e.ids)) for part, e in zip(some, self._many(some, add_special_tokens=False), strict=True))
+        return out
+
+    def _missing(self, chunks: list[str]) -> dict[str, bytes]:
+        """Ids of chunks that the cache lacks.
+
+        A chunk is encoded as the word and the marks after it, in lower case where
+        the vocabulary has no other. A letter followed by marks ends a unit of both
+        vocabularies; the apostrophe, which may belong to the word, is none of
+        these marks.
+        """
+        words = [chunk.rstrip(_MARKS) for chunk in chunks]
+        words = [chunk if len(word) == len(chunk) or not word or not word[-1].isalpha() else word for chunk, word in zip(chunks, words, strict=True)]
+        marks = [chunk[len(word) :] for chunk, word in zip(chunks, words, strict=True)]
+        if self._folds:
+            words = [word.lower() if word.isascii() else word for word in words]
+        need = {*words, *marks}
+        need.discard("")
+        known = dict(zip(need, map(self._cache.get, need), strict=True))
+        new = self._parts([part for part, ids in known.items() if ids is None])
+        known.update(new)
+        known[""] = b""
+        out = {chunk: known[word] + known[mark] for chunk, word, mark in zip(chunks, words, marks, strict=True)}
+        if len(self._cache) < self._most:
+            self._cache.update(new)
+            self._cache.update(out)
+        return out
+
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text; null counts as empty.
 
-        Frequent chunks come early, so a full cache keeps what it has and new
-        chunks stay for one call. If misses keep coming it starts afresh.
+        The distinct chunks of one call are looked up in the cache once. Frequent
+        chunks come early, so a full cache keeps what it has; if misses keep
+        coming it starts afresh.
         """
-        cache = self._cache
-        chunks = [None if self._added(t) else self._split(t) for t in (x or "" for x in texts)]
-        new = list(set().union(*[row for row in chunks if row is not None]).difference(cache))
-        full = len(cache) >= self._most
-        parts = [self._parts(c) for c in new]
-        todo = list(set(chain.from_iterable(parts)).difference(cache))
-        for lo in range(0, len(todo), 20_000):
-            some = todo[lo : lo + 20_000]
-            for part, e in zip(some, self._many(some, add_special_tokens=False), strict=True):
-                cache[part] = self._pack(e.ids)
-        for chunk, part in zip(new, parts, strict=True):
-            if len(part) > 1:
-                cache[chunk] = cache[part[0]] + cache[part[1]]
-            elif part[0] != chunk:
-                cache[chunk] = cache[part[0]]
-        new = {*new, *todo}
-        out = [self.whole(t) if row is None else b"".join(map(cache.__getitem__, row)) for t, row in zip(texts, chunks, strict=True)]
-        if full:
-            for chunk in new:
-                del cache[chunk]
-            self._missed += len(new)
+        folded = [(t or "").lower() if self._folds and not _UNSAFE(t or "") else t or "" for t in texts]
+        chunks = [None if self._added(t) else self._split(t) for t in folded]
+        distinct = set().union(*[row for row in chunks if row is not None])
+        here = dict(zip(distinct, map(self._cache.get, distinct), strict=True))
+        missing = [chunk for chunk, ids in here.items() if ids is None]
+        if len(self._cache) >= self._most:
+            self._missed += len(missing)
             if self._missed > 8 * self._most:
-                cache.clear()
+                self._cache.clear()
                 self._missed = 0
-        return out
+        here.update(self._missing(missing))
+        return [self.whole(t or "") if row is None else b"".join(map(here.__getitem__, row)) for t, row in zip(texts, chunks, strict=True)]
 
 
 _ENCODERS: dict[tuple, Encoder] = {}
@@ -109,7 +138,7 @@ def encoder(path: str, leading: bool, width: int = 4) -> Encoder:
     return _ENCODERS[key]
 
 
-def text_slices(batches, rows: int = 256, size: int = 4 << 20):
+def text_slices(batches, rows: int = 1024, size: int = 4 << 20):
     """(doc ids, texts) of record batches (doc_id, text, ...), a few MB of text at a time."""
     for batch in batches:
         ids, texts = batch.column(0), batch.column(1)
