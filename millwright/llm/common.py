@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import ctypes
 import tempfile
 import uuid
 
@@ -73,6 +74,33 @@ def stored(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
     return spark.read.schema(df.schema).parquet(path), path
 
 
+_HELD: dict = {}
+
+
+def held(key, make):
+    """What ``make`` gave for ``key`` in this Python worker, which holds one such thing at a time.
+
+    Workers serve the tasks of many operators; their caches would add up.
+    """
+    if key not in _HELD:
+        release()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
+def release() -> None:
+    """Gives back what this Python worker holds, also to the system where it can."""
+    if _HELD:
+        _HELD.clear()
+        trim()
+
+
+def trim() -> None:
+    """Gives freed memory of this process back to the system, where the C library can."""
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def fresh(columns: list[str], *wanted: str) -> list[str]:
     """Column names like ``wanted`` that clash with none of ``columns`` (case ignored)."""
     taken = {c.lower() for c in columns}

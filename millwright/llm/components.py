@@ -68,6 +68,9 @@ def merged_components(parts: DataFrame, edges: DataFrame) -> DataFrame:
     A node that ``parts`` lacks is a component of its own before.
     """
 
+    if edges.isEmpty():
+        return parts
+
     def of(name: str) -> DataFrame:
         return parts.select(F.col("node").alias(name), F.col("component").alias(f"c_{name}"))
 

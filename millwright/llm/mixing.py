@@ -185,7 +185,8 @@ def mixed_documents(docs: DataFrame, seed: str = "mix", **options) -> DataFrame:
     documents hold no words to take. Rows are sorted by the slot of the block in
     which an occurrence begins; they are not split where a block ends. Whole rows
     travel to the bucket that places them, where the slots of its documents are
-    looked up, and then to their place in the order.
+    looked up, and then to their place in the order: partition k holds the k-th
+    equal part of the slots.
     """
     columns = docs.columns
     small = sized(docs.select("doc_id", "text", "source"), seed)
@@ -210,4 +211,9 @@ def mixed_documents(docs: DataFrame, seed: str = "mix", **options) -> DataFrame:
     if "n_chars" in out:
         kind = docs.schema["n_chars"].dataType
         out["n_chars"] = F.when(whole_doc, F.col("doc.n_chars")).otherwise(F.length("cut").cast(kind)).alias("n_chars")
-    return w.select("slot", "at", F.struct(*[out[c] for c in columns]).alias("row")).orderBy("slot", "at").select(*[F.col(f"row.`{c}`") for c in columns])
+    spark = docs.sparkSession
+    last = order.agg(F.max("slot")).first()[0] or 0
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    w = w.select("slot", "at", F.struct(*[out[c] for c in columns]).alias("row"))
+    w = w.repartitionById(parts, F.floor(F.col("slot") * parts / (last + 1)).cast("int")).sortWithinPartitions("slot", "at")
+    return w.select(*[F.col(f"row.`{c}`") for c in columns])

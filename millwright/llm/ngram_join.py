@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import drop_scratch, materialise, stored
+from .common import drop_scratch, materialise, release, stored
 from .components import connected_components, merged_components
 from .shingles import Shingler, overlap, set_id
 from .tokens import text_slices
@@ -83,6 +83,7 @@ def _profile(words: int):
     """(doc_id, text) to one row per document, and the task's sketch in slices."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         shingler, cells = Shingler(words), np.zeros(1 << CELL_BITS, np.uint32)
         block, size, any_row = [], 0, False
         for ids, texts in text_slices(batches):

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialise
+from .common import held, materialise
 from .tokens import text_slices
 
 GOOD, BAD, ABSTAIN = 1, 0, 2
@@ -30,8 +30,8 @@ STOPWORDS = frozenset(
     au avec dans de des du en est et la le les par pas pour que qui sur un une
     al con de del el en la las lo los no para por que se su un una y""".split()
 )
-#: Bits of the scorer's hash; documents that it is fitted on, at most about this many, and their longest text.
-HASH_BITS, SAMPLE_ROWS, SAMPLE_CHARS = 14, 8_000, 20_000
+#: Bits of the scorer's hash; texts that it is fitted on, at most about this many.
+HASH_BITS, SAMPLE_ROWS = 14, 8_000
 
 _SYMBOLS = re.compile(r"[#$%&*@~^|<>{}\[\]\\=_+]")
 _WORDS = re.compile(r"[^\W\d_]+")
@@ -212,14 +212,27 @@ class Linear:
         return float(1 / (1 + np.exp(-np.clip(self.weights[at] @ x + self.bias, -30, 30))))
 
 
-def quality(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, sample_chars: int = SAMPLE_CHARS, threshold: float = 0.5) -> DataFrame:
+def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, text) to key, votes and hashed features, of bounded size; a key repeats within a batch once at most."""
+    features = held("quality", Hashed)
+    for keys, texts in text_slices(batches):
+        rows = []
+        for key, t in dict(zip(keys, texts, strict=True)).items():
+            m = measures(t)
+            at, x = features(t, m)
+            rows.append((key, votes(m), at.astype("<u2").tobytes(), x.astype("<f4").tobytes()))
+        key, code, at, x = zip(*rows, strict=True)
+        yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(code, pa.int64()), pa.array(at, pa.binary()), pa.array(x, pa.binary())], names=["key", "votes", "at", "x"])
+
+
+def quality(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, threshold: float = 0.5) -> DataFrame:
     """doc_id, votes, posterior, score, kept: one row per row of ``docs``.
 
     ``posterior`` is what the labellers' votes say, ``score`` the scorer's grade
     (1: good), ``kept`` whether it reaches ``threshold``. Vote patterns, at most
     3 to the number of labellers, are counted over all documents; the scorer is
-    fitted on about ``sample_rows`` texts of at most ``sample_chars`` characters,
-    chosen by a hash of the text. A null text is empty, and empty texts are bad.
+    fitted on about ``sample_rows`` different texts at most, chosen by a hash of the
+    text, of which only hashed features come to the driver. A null text is empty, and empty texts are bad.
     Repeated rows each give a row, other columns are not read, an empty table
     gives no rows.
     """
@@ -237,20 +250,18 @@ def quality(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, sample_chars: int =
     by_code = dict(zip(codes.tolist(), posterior.tolist(), strict=True))
     share = min(1.0, sample_rows / max(int(n.sum()), 1))
     text = F.coalesce("text", F.lit(""))
-    chosen = docs.select(text.alias("text")).filter((F.length("text") <= sample_chars) & (F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(share * (1 << 20))))
-    texts = sorted(chosen.toPandas().text.tolist())
-    hashed, rows, soft = Hashed(), [], []
-    for t in texts:
-        m = measures(t)
-        rows.append(hashed(t, m))
-        soft.append(by_code.get(votes(m), 0.5))
+    chosen = docs.select(F.xxhash64(text).alias("key"), text.alias("text")).filter(F.pmod("key", F.lit(1 << 20)) < int(share * (1 << 20)))
+    few = chosen.mapInArrow(_sampled, "key long, votes long, at binary, x binary").groupBy("key").agg(F.min(F.struct("votes", "at", "x")).alias("row"))
+    few = few.select("key", "row.*").toPandas().sort_values("key")
+    rows = [(np.frombuffer(at, "<u2").astype(np.int64), np.frombuffer(x, "<f4").astype(float)) for at, x in zip(few["at"], few["x"], strict=True)]
+    soft = [by_code.get(v, 0.5) for v in few["votes"].tolist()]
     model = Linear().fit(rows, np.array(soft))
-    held = spark.sparkContext.broadcast((by_code, model))
+    sent = spark.sparkContext.broadcast((by_code, model))
     schema = T.StructType([T.StructField("doc_id", kind), T.StructField("votes", T.LongType()), T.StructField("posterior", T.DoubleType()), T.StructField("score", T.DoubleType())])
 
     def grade(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, scorer = held.value
-        features = Hashed()
+        known, scorer = sent.value
+        features = held("quality", Hashed)
         for batch in batches:
             code, post, score = [], [], []
             for _, part in text_slices([batch]):

@@ -13,6 +13,8 @@ import re
 
 import numpy as np
 
+from .common import held
+
 #: The characters with the Unicode property White_Space.
 _WS = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
@@ -127,15 +129,9 @@ class Encoder:
         return [self.whole(t or "") if row is None else b"".join(map(here.__getitem__, row)) for t, row in zip(texts, chunks, strict=True)]
 
 
-_ENCODERS: dict[tuple, Encoder] = {}
-
-
 def encoder(path: str, leading: bool, width: int = 4) -> Encoder:
     """The encoder of this Python worker, whose cache serves all its tasks."""
-    key = (path, leading, width)
-    if key not in _ENCODERS:
-        _ENCODERS[key] = Encoder(path, leading, width)
-    return _ENCODERS[key]
+    return held(("encoder", path, leading, width), lambda: Encoder(path, leading, width))
 
 
 def text_slices(batches, rows: int = 1024, size: int = 4 << 20):

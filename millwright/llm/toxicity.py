@@ -21,10 +21,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import held, materialise, trim
 from .tokens import text_slices
 
-#: At most about this many labelled rows are fitted on, none of them longer than this many characters.
-SAMPLE_ROWS, SAMPLE_CHARS = 8_000, 20_000
+#: At most about this many labelled rows are fitted on, whatever their length.
+SAMPLE_ROWS = 8_000
+SAMPLE_PARTS = 24
 TREES, DEPTH, RATE, BINS, LEAF = 60, 3, 0.2, 48, 5
 
 #: Words of insult in four languages, and the second person in them.
@@ -76,13 +78,12 @@ def unlike(word_sets: list[set[str]], triples: int = 8) -> list[int]:
     return kept
 
 
-def induce_lexicon(texts: list[str], toxic: np.ndarray, least: int = 5) -> dict[str, int]:
-    """Units that mark toxic texts: 3 for almost always, 2 for mostly, 1 for often.
+def induce_lexicon(sets: list[set[str]], toxic: np.ndarray, least: int = 5) -> dict[str, int]:
+    """Units that mark toxic texts, given as sets of words: 3 for almost always, 2 for mostly, 1 for often.
 
     Counted are texts, toxic or not, that hold a unit, copies left out. A unit must
     stand in ``least`` toxic texts, in twice as many to count as often or mostly.
     """
-    sets = [_words(t) for t in texts]
     keep = unlike(sets)
     positive = Counter(u for i in keep if toxic[i] for u in {u for w in sets[i] for u in units(w)})
     wanted = {u for u, n in positive.items() if n >= least}
@@ -166,16 +167,9 @@ class Featurizer:
         return np.array([self.row(t or "") for t in texts], np.float64).reshape(-1, len(FEATURES))
 
 
-_FEATURIZERS: dict[int, Featurizer] = {}
-
-
 def featurizer(learnt: dict[str, int]) -> Featurizer:
     """This Python worker's featurizer for a lexicon, whose cache serves all its tasks."""
-    key = zlib.crc32(repr(sorted(learnt.items())).encode())
-    if key not in _FEATURIZERS:
-        _FEATURIZERS.clear()
-        _FEATURIZERS[key] = Featurizer(learnt)
-    return _FEATURIZERS[key]
+    return held(("toxicity", zlib.crc32(repr(sorted(learnt.items())).encode())), lambda: Featurizer(learnt))
 
 
 @dataclass
@@ -282,23 +276,93 @@ class Model:
         return np.interp(m, *self.knots)
 
 
-def fit(texts: list[str], toxic: np.ndarray) -> Model:
-    """A model from labelled texts: by a hash of the text three quarters grow trees, one calibrates.
+#: Quarters of the labelled texts, and the quarters whose lexicon they are seen with.
+FOLDS = (((0,), (1, 2)), ((1, 2), (0,)), ((3,), (0, 1, 2)))
+
+
+def quarter(text: str) -> int:
+    """One of four parts, by a hash of the text: three grow trees, the last calibrates."""
+    return zlib.crc32(text.encode("utf-8", "surrogatepass")) >> 8 & 3
+
+
+def fold_lexicons(sets: list[set[str]], y: np.ndarray, quarters: np.ndarray) -> list[dict[str, int]]:
+    """The lexicon that each quarter is seen with.
 
     The lexicon for the trees' own rows comes from the other half of them, so that
-    trees see it as it acts on new texts. With no rows, or one class, the score is
-    the smoothed share of toxic rows.
+    trees see it as it acts on new texts.
     """
-    y = np.asarray(toxic, float)
-    quarter = np.array([zlib.crc32(t.encode("utf-8", "surrogatepass")) >> 8 & 3 for t in texts], np.int64)
-    x = np.zeros((len(texts), len(FEATURES)))
-    for part, source in (((0,), (1, 2)), ((1, 2), (0,)), ((3,), (0, 1, 2))):
-        rows, other = np.flatnonzero(np.isin(quarter, part)), np.flatnonzero(np.isin(quarter, source))
-        x[rows] = Featurizer(induce_lexicon([texts[i] for i in other], y[other]))([texts[i] for i in rows])
-    grow, calibrate = quarter < 3, quarter == 3
+    out = [{} for _ in range(4)]
+    for parts, source in FOLDS:
+        rows = np.flatnonzero(np.isin(quarters, source))
+        learnt = induce_lexicon([sets[i] for i in rows], y[rows])
+        for part in parts:
+            out[part] = learnt
+    return out
+
+
+def grown(x: np.ndarray, y: np.ndarray, quarters: np.ndarray, learnt: dict[str, int]) -> Model:
+    """A model from features of labelled texts, calibrated on the last quarter if it has both classes."""
+    grow, last = quarters < 3, quarters == 3
     trees = Boosted().fit(x[grow], y[grow])
-    knots = isotonic(trees.margin(x[calibrate]), y[calibrate]) if calibrate.sum() >= 40 else (np.empty(0), np.empty(0))
-    return Model(induce_lexicon(texts, y), trees, knots)
+    both = last.any() and y[last].min() != y[last].max()
+    return Model(learnt, trees, isotonic(trees.margin(x[last]), y[last]) if both else (np.empty(0), np.empty(0)))
+
+
+def fit(texts: list[str], toxic: np.ndarray) -> Model:
+    """A model from labelled texts at hand.
+
+    With no rows, or one class, the score is the smoothed share of toxic rows.
+    """
+    y, sets = np.asarray(toxic, float), [_words(t) for t in texts]
+    quarters = np.array([quarter(t) for t in texts], np.int64)
+    x = np.zeros((len(texts), len(FEATURES)))
+    for part, learnt in enumerate(fold_lexicons(sets, y, quarters)):
+        rows = np.flatnonzero(quarters == part)
+        x[rows] = Featurizer(learnt)([texts[i] for i in rows])
+    return grown(x, y, quarters, induce_lexicon(sets, y))
+
+
+def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Labelled texts to their quarters and distinct words."""
+    for keys, texts in text_slices(batches):
+        found = [(quarter(t), " ".join(sorted(_words(t)))) for t in texts]
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array([q for q, _ in found], pa.int32()), pa.array([w for _, w in found], pa.string())], names=["key", "quarter", "words"])
+
+
+def _seen_with(lexicons):
+    """Labelled texts to their features, each with the lexicon of its quarter."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        by_quarter = [Featurizer(learnt, 50_000) for learnt in lexicons.value]
+        for keys, texts in text_slices(batches):
+            rows = [by_quarter[quarter(t)].row(t) for t in texts]
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(rows, pa.list_(pa.float64()))], names=["key", "x"])
+
+    return run
+
+
+def fitted(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
+    """A model from about ``rows`` labelled rows at most; whole texts stay on the executors.
+
+    The driver gets each sampled text's distinct words and then its features.
+    """
+    spark = docs.sparkSession
+    chosen = sample(docs, labels, rows)
+    bags = chosen.select("key", "text").repartition(SAMPLE_PARTS).mapInArrow(_bags, "key string, quarter int, words string")
+    found = bags.join(F.broadcast(chosen.select("key", "toxic")), "key").toPandas()
+    found = found.assign(at=[zlib.crc32(k.encode()) for k in found.key]).sort_values(["at", "key"]).reset_index(drop=True)
+    one: dict[str, str] = {}  # each word is held once
+    sets = [{one.setdefault(w, w) for w in words.split()} for words in found.pop("words")]
+    y, quarters = (found.toxic.to_numpy(float) > 0).astype(float), found.quarter.to_numpy(np.int64)
+    lexicons = spark.sparkContext.broadcast(fold_lexicons(sets, y, quarters))
+    seen = chosen.select("key", "text").repartition(SAMPLE_PARTS).mapInArrow(_seen_with(lexicons), "key string, x array<double>").toPandas()
+    x = dict(zip(seen.key, seen.x, strict=True))
+    features = np.array([x[k] for k in found.key], np.float64).reshape(-1, len(FEATURES))
+    model = grown(features, y, quarters, induce_lexicon(sets, y))
+    lexicons.unpersist()
+    del sets, one, found, seen, x
+    trim()
+    return model
 
 
 def held_out(doc_id):
@@ -306,11 +370,12 @@ def held_out(doc_id):
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> tuple[list[str], np.ndarray]:
-    """Texts and labels to fit on: labelled rows outside the held-out fold, chosen by a hash of doc_id.
+def sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
+    """key, text, toxic: labelled rows outside the held-out fold, chosen by a hash of doc_id, one per doc_id.
 
     Chosen ids, at most about ``rows``, are broadcast, so documents are filtered
-    where they lie. Several labels of one doc_id count as their largest.
+    where they lie. Several labels of one doc_id count as their largest; of several
+    texts the one with the smallest hash is taken, before anything is shuffled.
     """
     usable = labels.filter("doc_id is not null and toxic is not null").filter(~held_out(F.col("doc_id")))
     usable = usable.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -318,31 +383,32 @@ def sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, chars: i
     share = min(1.0, rows / max(n, 1))
     chosen = usable.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
     chosen = chosen.select(F.col("doc_id").alias("label_id"), F.col("toxic").cast("int").alias("toxic"))
-    found = docs.select("doc_id", "text").filter(F.coalesce(F.length("text"), F.lit(0)) <= chars).join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id"))
-    got = found.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "toxic").toPandas()
-    got = got.assign(key=[hash((int(d) * 2654435761) % (1 << 32)) for d in got.doc_id]).sort_values(["key", "doc_id", "text"])
-    return got.text.tolist(), (got.toxic.to_numpy() > 0).astype(float)
+    text = F.coalesce("text", F.lit(""))
+    found = docs.select("doc_id", text.alias("text")).join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id"))
+    found = found.groupBy(F.col("label_id").cast("string").alias("key")).agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("least"), F.max("toxic").alias("toxic"))
+    return materialise(found.select("key", F.col("least.text").alias("text"), "toxic"), "labelled")
 
 
-def scores(docs: DataFrame, model: Model, keep: list[str] | None = None, at_least: float | None = None) -> DataFrame:
-    """doc_id and score per document; with ``keep``, those columns of the rows scored below ``at_least``."""
+def scores(docs: DataFrame, model: Model, below: float | None = None) -> DataFrame:
+    """doc_id and score per document; with ``below``, the whole rows that score less."""
+    columns = docs.columns if below is not None else ["doc_id", "text"]
+    i_id, i_text = columns.index("doc_id"), columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         featurize = featurizer(model.learnt)
         for batch in batches:
-            done = [model.score(featurize(texts)) for _, texts in text_slices([batch])]
+            pair = pa.RecordBatch.from_arrays([batch.column(i_id), batch.column(i_text)], names=["doc_id", "text"])
+            done = [model.score(featurize(texts)) for _, texts in text_slices([pair])]
             score = np.concatenate(done) if done else np.empty(0)
-            if keep is None:
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score)], names=["doc_id", "score"])
+            if below is None:
+                yield pa.RecordBatch.from_arrays([pair.column(0), pa.array(score)], names=["doc_id", "score"])
             else:
-                stays = batch.filter(pa.array(score < at_least))
-                yield pa.RecordBatch.from_arrays(stays.columns[2:], names=keep)
+                yield batch.filter(pa.array(score < below))
 
-    if keep is None:
-        schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("score", T.DoubleType())])
-        return docs.select("doc_id", "text").mapInArrow(run, schema)
-    rows = docs.select(F.col("doc_id").alias("_1"), F.col("text").alias("_2"), *[F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(keep)])
-    return rows.mapInArrow(run, docs.select(*[f"`{c}`" for c in keep]).schema)
+    rows = docs.select(*[f"`{c}`" for c in columns])
+    if below is not None:
+        return rows.mapInArrow(run, rows.schema)
+    return rows.mapInArrow(run, T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("score", T.DoubleType())]))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -352,10 +418,16 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     text without words. Rows that repeat are scored alike. A null doc_id is not
     held out. Other columns are not read; an empty table gives no rows.
     """
-    out = scores(docs, fit(*sample(docs, labels)))
+    out = scores(docs, fitted(docs, labels))
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def clean_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` that score below ``threshold``, with all their columns."""
-    return scores(docs, fit(*sample(docs, labels)), docs.columns, threshold)
+    """The rows of ``docs`` that score below ``threshold``, with all their columns.
+
+    A null or empty text scores like any text without words; repeated rows stay or
+    go together; a null doc_id has no label; other columns pass through, whatever
+    their names; an empty table gives no rows. Without usable labels the score is
+    a constant below one half, and every row stays.
+    """
+    return scores(docs, fitted(docs, labels), threshold)

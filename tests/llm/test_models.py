@@ -38,7 +38,7 @@ def test_copies_do_not_make_a_lexicon():
     r = random.Random(1)
     copies = [prose(5, 100) + f" idiot moron {prose(900 + k, 3)}" for k in range(30)]
     clean = [prose(50 + k, r.randint(30, 120)) for k in range(200)]
-    found = toxicity.induce_lexicon(copies + clean, np.array([1] * 30 + [0] * 200))
+    found = toxicity.induce_lexicon([toxicity._words(t) for t in copies + clean], np.array([1] * 30 + [0] * 200))
     assert not found
 
 
