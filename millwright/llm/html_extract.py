@@ -4,9 +4,15 @@ Pages of one host are read as streams of tags and words, each named by its path
 of open elements. Tokens with the same vector of occurrences over the pages form
 an equivalence class; a class is valid if its tokens come in one order in every
 page, and valid classes nest into each other's slots to make the template. What
-the template does not explain is left in its slots. Slots that lie in menus,
-headers, footers, side bars, notices, adverts, forms or comments are page
-furniture that changes from page to page; the text of the others is the article.
+the template does not explain is left in its slots.
+
+Slots decide what is article: those whose content changes from page to page and
+is prose. The article is the deepest element, standing once in every page, whose
+slots hold most of that prose; text outside it, text that is mostly template, and
+slots of a few words are furniture that changes from page to page. Element names
+and words in classes count where slots do not speak: inside the article, where
+article or main elements hold most of the prose anyway, and on hosts with too few
+pages for a template.
 """
 
 from __future__ import annotations
@@ -15,7 +21,7 @@ import html
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from itertools import chain
 
 import numpy as np
@@ -63,8 +69,9 @@ _CAMEL = re.compile(r"([a-z])([A-Z])")
 class Element:
     name: str
     path: int
-    furniture: bool
-    main: bool  # in an article or main element
+    furniture: bool  # by element name, or hidden
+    named: int  # path of the outermost element that class, id or role call furniture, or -1
+    main: int  # path of the outermost article or main element, or -1
     teaser: bool  # in one that is marked as a teaser of another page
     header: bool
 
@@ -76,10 +83,11 @@ class Block:
     words: list[str]
     path: int
     furniture: bool
-    main: bool
+    named: int
+    main: int
     teaser: bool
     linked: int  # characters inside links
-    heading: bool
+    heading: int  # level, or 0
     header: bool
 
 
@@ -100,10 +108,14 @@ def _words(attributes: dict[str, str]) -> set[str]:
 
 
 def _is_furniture(name: str, attributes: dict[str, str]) -> bool:
+    """Whether an element is no article by its name, or hidden."""
     if name in FURNITURE or "hidden" in attributes or attributes.get("aria-hidden") == "true":
         return True
-    if "style" in attributes and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attributes["style"]):
-        return True
+    return "style" in attributes and bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attributes["style"]))
+
+
+def _is_named_furniture(name: str, attributes: dict[str, str]) -> bool:
+    """Whether class, id or role of an element call it furniture."""
     if name in ("body", "html", "main"):
         return False
     words = _words(attributes)
@@ -121,7 +133,7 @@ class Interner(dict):
 def parse(source: str, names: Interner) -> Page:
     """Tags and text blocks of one page; ``names`` numbers paths and path-qualified tags."""
     tokens, blocks = [], []
-    stack = [Element("", names["", 0], False, False, False, False)]
+    stack = [Element("", names["", 0], False, -1, -1, False, False)]
     parts: list[tuple[str, bool]] = []
     links = 0
 
@@ -133,8 +145,8 @@ def parse(source: str, names: Interner) -> Page:
         parts.clear()
         if words:
             tokens.append(-1 - len(blocks))
-            heading = any(e.name in ("h1", "h2", "h3", "h4", "h5", "h6") for e in stack[-3:])
-            blocks.append(Block(words, top.path, top.furniture, top.main, top.teaser, linked, heading, top.header))
+            heading = max((int(e.name[1]) for e in stack[-3:] if e.name in ("h1", "h2", "h3", "h4", "h5", "h6")), default=0)
+            blocks.append(Block(words, top.path, top.furniture, top.named, top.main, top.teaser, linked, heading, top.header))
 
     def close(k: int) -> None:
         nonlocal links
@@ -210,11 +222,12 @@ def parse(source: str, names: Interner) -> Page:
             skip_to = source.find(">", to) + 1 if to >= 0 else len(source)
             at = skip_to or len(source)
             continue
-        furniture = top.furniture or _is_furniture(name, attributes) or (name == "header" and not top.main)
-        marked = not furniture and (name in ("article", "main") or attributes.get("role") in ("main", "article") or attributes.get("itemprop") == "articleBody")
+        furniture = top.furniture or _is_furniture(name, attributes) or (name == "header" and top.main < 0)
+        named = path if top.named < 0 and attributes and _is_named_furniture(name, attributes) else top.named
+        marked = not furniture and named < 0 and (name in ("article", "main") or attributes.get("role") in ("main", "article") or attributes.get("itemprop") == "articleBody")
         teaser = top.teaser or (marked and not TEASER_WORDS.isdisjoint(_words(attributes)))
         links += name == "a"
-        stack.append(Element(name, path, furniture, top.main or marked, teaser, top.header or (name == "header" and top.main)))
+        stack.append(Element(name, path, furniture, named, path if marked and top.main < 0 else top.main, teaser, top.header or (name == "header" and top.main >= 0)))
     flush()
     return Page(tokens, blocks)
 
@@ -228,7 +241,7 @@ def unlike(pages: list[Page]) -> list[Page]:
     sizes: list[int] = []
     holders: dict[str, list[int]] = defaultdict(list)
     for page in pages:
-        own = set(chain.from_iterable(b.words for b in page.blocks if not b.furniture))
+        own = set(chain.from_iterable(b.words for b in page.blocks if not b.furniture and b.named < 0))
         shared = Counter(chain.from_iterable(map(holders.__getitem__, own & holders.keys())))
         if all(2 * k <= min(len(own), sizes[i]) for i, k in shared.items()):
             for t in own:
@@ -326,31 +339,111 @@ def _slot(c: EquivalenceClass, places, page: int, at: int) -> int | None:
     return s if s < len(c.tokens) else None
 
 
-def main_text(page: Page, fixed: set) -> str:
-    """The text that the template leaves in the slots of the article, one line per block.
+@dataclass
+class Judgement:
+    """What the slots of a template say about a host's pages."""
+
+    fixed: set = field(default_factory=set)  # (word, path) of template words
+    article: int | None = None  # path of the element that holds the article; None: article and main elements do
+    around: tuple[int, ...] = ()  # that path and the paths of the elements around it
+    counters: set = field(default_factory=set)  # paths of slots with a few words that change
+
+
+#: Share of the host's prose that an article's element holds, and words of a slot that is prose.
+ARTICLE_SHARE, SLOT_WORDS = 2 / 3, 4
+
+
+def ancestors(names: Interner) -> list[tuple[int, ...]]:
+    """For each path its chain of paths, itself first; empty for tags."""
+    out: list[tuple[int, ...]] = []
+    for k, (kind, parent) in enumerate(names):
+        out.append(() if kind in ("<", "/") else (k, *out[parent]) if k else (k,))
+    return out
+
 
-    All article and main elements count, but teasers only where there is nothing
-    else. Blocks that are mostly links are menus only on pages without such elements.
+def _explained(b: Block, fixed: set) -> bool:
+    """Whether the template explains a block: a heading in whole, other text for more than half."""
+    known = sum((w, b.path) in fixed for w in b.words)
+    return known == len(b.words) if b.heading else 2 * known > len(b.words)
+
+
+def _mostly_links(b: Block) -> bool:
+    return b.linked * 10 > 8 * sum(map(len, b.words)) and not b.heading
+
+
+def judge(pages: list[Page], names: Interner) -> Judgement | None:
+    """The slots of the pages' template, or None where they have none.
+
+    ``pages`` are unlike each other. Prose counts by words left in slots, menus and
+    mostly fixed blocks aside, whatever class, id or role call them. Where the
+    deepest element that holds the article lies in an article or main element, the
+    outermost such element is the article; where it is the body only, slots do not
+    tell, and article and main elements decide if they hold half of the prose.
     """
-    blocks = [b for b in page.blocks if not b.furniture and (b.heading or not b.header)]
-    inside = [b for b in blocks if b.main]
-    if inside:
-        blocks = [b for b in inside if not b.teaser] or inside
-    out = []
-    for b in blocks:
-        chars = sum(map(len, b.words))
-        mostly_links = b.linked * 10 > 8 * chars and not b.heading and not b.main
-        if not mostly_links and not all((w, b.path) in fixed for w in b.words):
-            out.append(" ".join(b.words))
-    return "\n".join(out)
+    template = deduce(pages)
+    if not template:
+        return None
+    out = Judgement({t for c in template for t in c.tokens if isinstance(t, tuple)})
+    once = set.intersection(*({t for t, k in Counter(t for t in page.tokens if t >= 0).items() if k == 1} for page in pages))
+    chains, kinds = ancestors(names), [kind for kind, _ in names]
+    unique = {path for path in range(len(chains)) if chains[path] and names.get(("<", path), -1) in once}
+    prose, marked, outermost = Counter(), 0, set()
+    slots: dict[int, list[int]] = defaultdict(list)
+    for page in pages:
+        for b in page.blocks:
+            if b.furniture or (b.header and not b.heading) or _explained(b, out.fixed) or _mostly_links(b):
+                continue
+            prose[b.path] += len(b.words)
+            if b.main >= 0:
+                outermost.add(b.main)
+                marked += len(b.words) * (not b.teaser and b.named < 0)
+            if b.path in unique and not b.heading:
+                slots[b.path].append(len(b.words))
+    total, below = prose.total(), Counter()
+    for path, words in prose.items():
+        for up in chains[path]:
+            below[up] += words
+    holders = [path for path, words in below.items() if path in unique and words >= ARTICLE_SHARE * total]
+    article = max(holders, key=lambda path: len(chains[path]), default=None)
+    if article is None or kinds[article].split(".")[0] in ("html", "body") and 2 * marked >= total:
+        return out
+    out.article = next((path for path in chains[article] if path in outermost), article)
+    out.around = chains[out.article]
+    if out.article not in outermost:
+        out.counters = {path for path, words in slots.items() if sum(words) < SLOT_WORDS * len(words)}
+    return out
+
+
+def main_text(page: Page, judged: Judgement | None, chains: list[tuple[int, ...]]) -> str:
+    """The text left in the slots of the article, one line per block.
+
+    Inside the article, and wherever the slots do not tell, elements that class, id
+    or role call furniture are left out, and so are teasers next to other articles.
+    A page without the host's article element is read as if there were no template
+    but its fixed words. A title of the first level may stand outside the article.
+    """
+    judged = judged or Judgement()
+    blocks = [b for b in page.blocks if not b.furniture and (b.named < 0 or b.named in judged.around) and (b.heading or not b.header) and not _explained(b, judged.fixed)]
+    if judged.article is not None and any(judged.article in chains[b.path] for b in blocks):
+        blocks = [b for b in blocks if judged.article in chains[b.path] or b.heading == 1]
+        blocks = [b for b in blocks if (b.main >= 0 or not _mostly_links(b)) and b.path not in judged.counters]
+        return _joined([b for b in blocks if not b.teaser] or blocks)
+    if inside := [b for b in blocks if b.main >= 0]:
+        return _joined([b for b in inside if not b.teaser] or inside)
+    return _joined([b for b in blocks if not _mostly_links(b)])
+
+
+def _joined(blocks: list[Block]) -> str:
+    return "\n".join(" ".join(b.words) for b in blocks)
 
 
 def extract(sources: list[str | None]) -> list[str]:
     """Main texts of pages that share a host; null counts as empty."""
     names = Interner()
     pages = [parse(s or "", names) for s in sources]
-    fixed = {t for c in deduce(unlike(pages)) for t in c.tokens if isinstance(t, tuple)}
-    return [main_text(p, fixed) for p in pages]
+    judged = judge(unlike(pages), names)
+    chains = ancestors(names)
+    return [main_text(p, judged, chains) for p in pages]
 
 
 def _host(url: str | None) -> str:
@@ -384,13 +477,13 @@ def _dealt(parts: dict[str, int]):
         for batch in batches:
             hosts = [_host(url) for url in batch.column(1).to_pylist()]
             part = [h % parts.get(host, 1) for host, h in zip(hosts, batch.column(3).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(hosts, pa.string()), pa.array(part, pa.int64())], names=["page_id", "url", "html", "host", "part"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(hosts, pa.string()), pa.array(part, pa.int64()), batch.column(3)], names=["page_id", "url", "html", "host", "part", "hash"])
 
     return run
 
 
 def chunks(rows: Iterator[tuple]) -> Iterator[list[tuple]]:
-    """Rows (page_id, url, html, host, part), sorted by host and part, in lists that share a deduction.
+    """Rows (page_id, url, html, host, part, ...), sorted by host and part, in lists that share a deduction.
 
     A list is full at ``CHUNK_PAGES`` pages, or at 16 MB if it has enough pages
     for a template. It is passed on only once the next list has enough as well, so
@@ -398,10 +491,10 @@ def chunks(rows: Iterator[tuple]) -> Iterator[list[tuple]]:
     """
     held, key, size, full = [], None, 0, 0
     for row in rows:
-        if held and row[3:] != key:
+        if held and row[3:5] != key:
             yield held
             held, size, full = [], 0, 0
-        key = row[3:]
+        key = row[3:5]
         held.append(row)
         size += len(row[2] or "")
         if not full and (len(held) >= CHUNK_PAGES or size >= CHUNK_CHARS and len(held) >= LEAST_PAGES):
@@ -444,8 +537,8 @@ def main_texts(pages: DataFrame) -> DataFrame:
     an empty table gives no rows.
     """
     kind = pages.schema["page_id"].dataType
-    dealt = T.StructType([T.StructField("page_id", kind), T.StructField("url", T.StringType()), T.StructField("html", T.StringType()), T.StructField("host", T.StringType()), T.StructField("part", T.LongType())])
+    dealt = T.StructType([T.StructField("page_id", kind), T.StructField("url", T.StringType()), T.StructField("html", T.StringType()), T.StructField("host", T.StringType()), T.StructField("part", T.LongType()), T.StructField("hash", T.LongType())])
     hashed = pages.select("page_id", "url", "html", F.xxhash64("page_id", "url", "html"))
-    rows = hashed.mapInArrow(_dealt(host_parts(pages)), dealt).repartition("host", "part").sortWithinPartitions("host", "part", "page_id")
+    rows = hashed.mapInArrow(_dealt(host_parts(pages)), dealt).repartition("host", "part").sortWithinPartitions("host", "part", "page_id", "hash")
     out = rows.mapInArrow(_extracted, T.StructType([dealt["page_id"], dealt["url"], T.StructField("text", T.StringType())]))
     return out.withColumn("n_chars", F.length("text").cast("long"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import random
+import re
 
 import numpy as np
 import pytest
@@ -139,6 +140,46 @@ def test_no_part_of_the_article_is_dropped():
     assert one("<div><ul><li><a href=/1>Home</a></ul><p>text</p></div>") == "text"
 
 
+#: Sites without a telling element name, class or id; text in {} changes from page to page, [] marks the article.
+PLAIN = {
+    "wrapped": "<body><div class=q1>Our paper since 1900</div><div class=q7>Visitor {n} since Monday</div><div class=q2>[<h1>{t}</h1><p>{a}<p>{b}]</div><div class=q3>{short}</div><div class=q4>Subscribe to our letter</div>",
+    "title beside": "<body><div class=z><div>Today {n} readers came here</div>[<h1>{t}</h1><div class=q2><p>{a}<p>{b}</div>]</div><table><tr><td>{short}</table>",
+    "flat": "<body><p class=q1>Page number {n} of the paper</p><b class=z>x</b>[<p class=q5>{a}</p><p class=q5>{b}</p>]<p class=q8>{n}</p>",
+    "misnamed": "<body><div class='sidebar widget'>[<h2>{t}</h2><p>{a}<p>{b}]</div><div class=q3>{short}</div>",
+    "misplaced": "<body><article><p>{short}</article><div class=q2>[<p>{a}<p>{b}]</div>",
+}
+
+
+def plain_pages(site, n, seed=0):
+    for i in range(n):
+        parts = {"n": 1000 + 17 * i, "t": prose(seed + 7 * i + 1, 5), "a": prose(seed + 7 * i + 2, 60 + i), "b": prose(seed + 7 * i + 3, 40), "short": prose(seed + 7 * i + 4, 8)}
+        source = PLAIN[site]
+        article = re.findall(r"{(\w+)}", source[source.index("[") : source.index("]")])
+        yield source.replace("[", "").replace("]", "").format(**parts), "\n".join(parts[k] for k in article)
+
+
+@pytest.mark.parametrize("site", PLAIN)
+def test_slots_decide(site, monkeypatch):
+    pages, want = zip(*plain_pages(site, 14), strict=True)
+    assert html_extract.extract(list(pages)) == list(want)
+    monkeypatch.setattr(html_extract, "deduce", lambda pages: [])
+    assert html_extract.extract(list(pages)) != list(want)
+
+
+def test_long_comments_outside_the_article():
+    page = "<body><div class=q1><p>{a}<p>{b}</div><div id=comments><p>{c}</div>"
+    pages = [page.format(a=prose(i, 50), b=prose(40 + i, 20), c=prose(90 + i, 30 * (i % 3))) for i in range(9)]
+    assert html_extract.extract(pages) == [f"{prose(i, 50)}\n{prose(40 + i, 20)}" for i in range(9)]
+
+
+def test_main_text_is_the_same_for_any_partitioning(spark):
+    rows = [(1000 * h + i, f"http://{h}.example/{i}", html) for h, site in enumerate(PLAIN) for i, (html, _) in enumerate(plain_pages(site, 30 + 40 * h, 5000 * h))]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    texts = [{r["page_id"]: r["text"] for r in html_extract.main_texts(pages.repartition(*by)).collect()} for by in ((1,), (6, "page_id"), (3, "html"))]
+    assert texts[0] == texts[1] == texts[2] and len(texts[0]) == len(rows)
+    assert texts[0] == {1000 * h + i: text for h, site in enumerate(PLAIN) for i, (_, text) in enumerate(plain_pages(site, 30 + 40 * h, 5000 * h))}
+
+
 def test_variety_is_that_of_the_whole_text():
     varied, looped = [f"w{i}" for i in range(2000)], ["a", "b"] * 1000
     votes_bad = lambda words: quality.LABELLERS["variety"](quality.measures(" ".join(words))) == quality.BAD
