@@ -9,6 +9,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: ASCII white space in the sense of every contract here: space and \t \n \v \f \r.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -74,6 +75,12 @@ def stored(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
     return spark.read.schema(df.schema).parquet(path), path
 
 
+def one_task_each(manifest: DataFrame, part: str = "part") -> DataFrame:
+    """A materialised manifest of files dealt out to one task per file; ``part`` is the number of the task that wrote it."""
+    last = manifest.agg(F.max(part)).first()[0]
+    return manifest.repartitionById((last or 0) + 1, F.col(part).cast("int"))
+
+
 _HELD: dict = {}
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialise, scratch_path
+from .common import materialise, one_task_each, scratch_path
 from .tokens import encoder, text_slices
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -162,7 +162,9 @@ def write_tokens(docs: DataFrame, folder: str, vocabulary: str | None = None, en
     Texts are dealt out once by doc_id range and encoded where they are written.
     ``width`` is the bytes of an id in the files: 2 holds vocabularies of up to
     65,536 ids. A task that runs again writes the same names anew. A null text
-    is empty, null doc_ids come last, rows that repeat are written one by one.
+    is empty, null doc_ids come last, rows that repeat are written one by one. Long
+    texts are written as they come, sequence by sequence; an empty table writes no
+    file. Other columns are not read, whatever their names.
     """
     import public_tokenizers
 
@@ -218,7 +220,7 @@ def read_tokens(manifest: DataFrame, id_type: T.DataType) -> DataFrame:
                 if rows:
                     yield _rows(rows, out_schema)
 
-    return manifest.select("uri", "start").repartition("uri").mapInArrow(run, schema)
+    return one_task_each(manifest).select("uri", "start").mapInArrow(run, schema)
 
 
 def _real(batch: pa.RecordBatch) -> np.ndarray:
@@ -235,7 +237,11 @@ def _rows(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 
 def round_trip(docs: DataFrame, folder: str | None = None, **options) -> DataFrame:
-    """Writes the token files, reads them back, and returns a digest per document."""
+    """Writes the token files, reads them back, and returns a digest per document.
+
+    One row per row of ``docs``: doc_id, start, n_tokens, ids_crc32; an empty table
+    gives none. Each file is read in a task of its own.
+    """
     manifest = write_tokens(docs, folder or scratch_path(docs.sparkSession, "tokens"), **options)
     back = read_tokens(manifest, docs.schema["doc_id"].dataType)
     return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))

@@ -57,40 +57,50 @@ def _vectors(column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
             yield i, v
 
 
-def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(vec_id, label, embedding) to (vec_id, label, class key, unit vector); both null where nothing can link."""
-    for batch in batches:
-        keys, units = [None] * batch.num_rows, [None] * batch.num_rows
-        labels = batch.column(1).to_pylist()
-        ids = batch.column(0)
-        for i, v in _vectors(batch.column(2)):
-            if labels[i] is None or not ids[i].is_valid:
-                continue
-            raw = (v + 0.0).tobytes()
-            keys[i] = hashlib.blake2b(raw, digest_size=16, key=str(labels[i]).encode()[:64]).digest()
-            scaled = v / np.abs(v).max()  # so that squares neither overflow nor vanish
-            units[i] = (scaled / np.sqrt((scaled * scaled).sum())).tobytes()
-        yield pa.RecordBatch.from_arrays([ids, pa.array(labels, batch.schema.field(1).type), pa.array(keys, pa.binary()), pa.array(units, pa.binary())], names=["vec_id", "label", "class", "unit"])
+def _classes(kind: str):
+    """(vec_id, label, embedding) to (vec_id, label, class key, vector in its own precision); both null where nothing can link."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, raws = [None] * batch.num_rows, [None] * batch.num_rows
+            labels = batch.column(1).to_pylist()
+            ids = batch.column(0)
+            for i, v in _vectors(batch.column(2)):
+                if labels[i] is None or not ids[i].is_valid:
+                    continue
+                raws[i] = (v + 0.0).astype(kind).tobytes()
+                keys[i] = hashlib.blake2b(raws[i], digest_size=16, key=str(labels[i]).encode()[:64]).digest()
+            yield pa.RecordBatch.from_arrays([ids, pa.array(labels, batch.schema.field(1).type), pa.array(keys, pa.binary()), pa.array(raws, pa.binary())], names=["vec_id", "label", "class", "raw"])
+
+    return run
+
+
+def _units(raws: list[bytes], dim: int, kind: str) -> np.ndarray:
+    """Unit vectors in double precision."""
+    v = np.frombuffer(b"".join(raws), kind).astype(np.float64).reshape(-1, dim)
+    v = v / np.abs(v).max(axis=1, keepdims=True)  # so that squares neither overflow nor vanish
+    return v / np.sqrt((v * v).sum(axis=1, keepdims=True))
 
 
-def _keys(options: dict):
-    """Classes to one row per table."""
+def _keys(kind: str, options: dict):
+    """(class, label, vector) to (label, table, key, class), one row per table; vectors stay behind."""
+    width = np.dtype(kind).itemsize
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashers: dict[int, Hasher] = {}
         for batch in batches:
             for lo in range(0, batch.num_rows, 1024):
-                cls, label, m, unit = (c.to_pylist() for c in batch.slice(lo, 1024).columns)
-                dims = np.array([len(u) // 8 for u in unit])
+                cls, label, raw = (c.to_pylist() for c in batch.slice(lo, 1024).columns)
+                dims = np.array([len(u) // width for u in raw])
                 for dim in np.unique(dims):
                     rows = np.flatnonzero(dims == dim)
                     h = hashers.setdefault(int(dim), Hasher(int(dim), **options))
-                    keys = h(np.frombuffer(b"".join(unit[i] for i in rows)).reshape(-1, dim))
+                    keys = h(_units([raw[i] for i in rows], int(dim), kind))
                     k, tables = len(rows), keys.shape[1]
                     pick = lambda x: [x[i] for i in rows for _ in range(tables)]  # noqa: B023, E731
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(pick(label), batch.schema.field(1).type), pa.array(np.tile(np.arange(tables, dtype=np.int32), k)), pa.array(keys.ravel()), pa.array(pick(cls), pa.binary()), pa.array(pick(m), pa.int64()), pa.array(pick(unit), pa.binary())],
-                        names=["label", "table", "key", "class", "m", "unit"],
+                        [pa.array(pick(label), batch.schema.field(1).type), pa.array(np.tile(np.arange(tables, dtype=np.int32), k)), pa.array(keys.ravel()), pa.array(pick(cls), pa.binary())],
+                        names=["label", "table", "key", "class"],
                     )
 
     return run
@@ -145,19 +155,20 @@ def bucket_links(units: np.ndarray, keys: np.ndarray, m: np.ndarray, table: int,
     return counts, edges
 
 
-def _compare(threshold: float, options: dict):
+def _compare(threshold: float, kind: str, options: dict):
     """One group (label, table, key, blocks) to link counts and forest edges."""
+    width = np.dtype(kind).itemsize
 
     def run(group: pa.Table) -> pa.Table:
-        cls, unit = group.column("class").to_pylist(), group.column("unit").to_pylist()
+        cls, raw = group.column("class").to_pylist(), group.column("raw").to_pylist()
         m, side = group.column("m").to_numpy(), group.column("side").to_numpy()
         table, out = group.column("table")[0].as_py(), []
-        dims = np.array([len(u) // 8 for u in unit])
+        dims = np.array([len(u) // width for u in raw])
         for dim in np.unique(dims):
             rows = np.flatnonzero(dims == dim)
             if len(rows) < 2:
                 continue
-            units = np.frombuffer(b"".join(unit[i] for i in rows)).reshape(-1, dim)
+            units = _units([raw[i] for i in rows], int(dim), kind)
             keys = Hasher(int(dim), **options)(units)
             counts, edges = bucket_links(units, keys, m[rows], table, side[rows], threshold)
             out += [(cls[rows[i]], None, int(counts[i])) for i in np.flatnonzero(counts)]
@@ -182,13 +193,15 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, block: int =
     ``options`` go to ``Hasher``.
     """
     fields = vectors.schema
-    schema = T.StructType([T.StructField("vec_id", fields["vec_id"].dataType), T.StructField("label", fields["label"].dataType), T.StructField("class", T.BinaryType()), T.StructField("unit", T.BinaryType())])
-    rows = materialise(vectors.select("vec_id", "label", "embedding").mapInArrow(_classes, schema), "vectors")
+    schema = T.StructType([T.StructField("vec_id", fields["vec_id"].dataType), T.StructField("label", fields["label"].dataType), T.StructField("class", T.BinaryType()), T.StructField("raw", T.BinaryType())])
+    kind = "<f4" if isinstance(fields["embedding"].dataType.elementType, T.FloatType) else "<f8"
+    rows = materialise(vectors.select("vec_id", "label", "embedding").mapInArrow(_classes(kind), schema), "vectors")
     able = rows.filter("class is not null")
-    classes = able.groupBy("class", "label").agg(F.count("*").alias("m"), F.min("vec_id").alias("first"), F.first("unit").alias("unit"))
+    classes = able.groupBy("class", "label").agg(F.count("*").alias("m"), F.min("vec_id").alias("first"), F.first("raw").alias("raw"))
     classes = materialise(classes, "classes")
     label_type = fields["label"].dataType
-    keyed = classes.select("class", "label", "m", "unit").mapInArrow(_keys(options), T.StructType([T.StructField("label", label_type), T.StructField("table", T.IntegerType()), T.StructField("key", T.LongType()), T.StructField("class", T.BinaryType()), T.StructField("m", T.LongType()), T.StructField("unit", T.BinaryType())]))
+    keyed = classes.select("class", "label", "raw").mapInArrow(_keys(kind, options), T.StructType([T.StructField("label", label_type), T.StructField("table", T.IntegerType()), T.StructField("key", T.LongType()), T.StructField("class", T.BinaryType())]))
+    keyed = materialise(keyed, "keyed")
     sizes = keyed.groupBy("label", "table", "key").agg(F.count("*").alias("size")).filter("size > 1")
     keyed = keyed.join(sizes, ["label", "table", "key"])
     blocks = F.ceil(F.col("size") / block)
@@ -196,7 +209,8 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, block: int =
     cells = keyed.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), (blocks - 1).cast("int"))))
     cells = cells.withColumns({"lo": F.least("own", "other"), "hi": F.greatest("own", "other")})
     cells = cells.withColumn("side", F.when(F.col("own") == F.col("lo"), 0).otherwise(1))
-    found = cells.groupBy("label", "table", "key", "lo", "hi").applyInArrow(_compare(threshold, options), "a binary, b binary, n long")
+    cells = cells.drop("label").join(classes.select("class", "label", "m", "raw"), "class")  # vectors go to shared buckets only
+    found = cells.groupBy("label", "table", "key", "lo", "hi").applyInArrow(_compare(threshold, kind, options), "a binary, b binary, n long")
     found = materialise(found, "links")
     links = found.filter("b is null").groupBy(F.col("a").alias("class")).agg(F.sum("n").alias("n"))
     parts = connected_components(found.filter("b is not null").select("a", "b"))

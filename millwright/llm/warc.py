@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialise, scratch_path
+from .common import materialise, one_task_each, scratch_path
 from .token_files import _open_store
 
 #: Fixed values of the formats: magic number of the dictionary's skippable frame,
@@ -57,9 +57,9 @@ def _quoted(url: str | None) -> str:
     return urllib.parse.quote(url or "about:blank", safe="%/:=&?~#+!$,;'@()*[]")
 
 
-def record(page_id: object, url: str | None, payload: bytes, digest: str, refers_to: object = None, is_revisit: bool = False) -> bytes:
-    """The bytes of a response record, or of a revisit of the page ``refers_to``."""
-    http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
+def record(page_id: object, url: str | None, payload: bytes | None, digest: str, refers_to: object = None, is_revisit: bool = False, size: int | None = None) -> bytes:
+    """The bytes of a response record, or of a revisit of the page ``refers_to``, which needs the payload's ``size`` only."""
+    http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % (len(payload) if size is None else size)
     block = http if is_revisit else http + payload
     head = ["WARC/1.1", f"WARC-Type: {'revisit' if is_revisit else 'response'}", f"WARC-Record-ID: {uid(page_id)}", f"WARC-Date: {DATE}", f"WARC-Target-URI: {_quoted(url)}", "Content-Type: application/http; msgtype=response", f"WARC-Payload-Digest: sha1:{digest}", f"WARC-Block-Digest: sha1:{sha1(block)}"]
     if is_revisit:
@@ -184,6 +184,26 @@ def read_archive(uri: str, chunk: int = 1 << 20) -> Iterator[bytes]:
             yield b"".join(parts)
 
 
+def _lightened(min_bytes: int):
+    """Adds digest and size; payloads go from rows that must be revisits, their batch having a copy with a larger page_id."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 1024):
+                part = batch.slice(lo, 1024)
+                ids, urls, payloads, keys = (c.to_pylist() for c in part.columns)
+                largest: dict[str, object] = {}
+                for key, page_id in zip(keys, ids, strict=True):
+                    if page_id is not None and (key not in largest or largest[key] < page_id):
+                        largest[key] = page_id
+                found = {key: (sha1(p), len(p)) for key, p in dict(zip(keys, payloads, strict=True)).items()}
+                sent = [p if found[key][1] < min_bytes or key not in largest or page_id == largest[key] else None for p, key, page_id in zip(payloads, keys, ids, strict=True)]
+                digest, size = zip(*map(found.__getitem__, keys), strict=True)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(sent, pa.binary()), part.column(3), pa.array(digest, pa.string()), pa.array(size, pa.int64())], names=["page_id", "url", "payload", "key", "digest", "size"])
+
+    return run
+
+
 def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0, sample_bytes: int = SAMPLE_BYTES, dictionary_bytes: int = DICTIONARY_BYTES) -> DataFrame:
     """Writes one archive per partition; returns part, uri, records.
 
@@ -192,16 +212,19 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0, sample_byt
     and the others revisit it. A group whose page_ids are all null, and rows that
     repeat the largest one, have no single such record: all those are responses.
     Copies are found from digests and lengths alone, aggregated before any
-    shuffle; html travels once, and a payload with many copies is dealt out to
-    several tasks by adaptive skew handling. Each file's dictionary is trained on
-    its first ``sample_bytes``.
+    shuffle; html travels once, without that of rows which a batch shows to be
+    revisits, and a payload with many copies is dealt out to several tasks by
+    adaptive skew handling. Each file's dictionary is trained on its first
+    ``sample_bytes``.
     """
     id_type = pages.schema["page_id"].dataType
-    rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).cast("binary").alias("payload"))
-    rows = rows.withColumn("key", F.sha2("payload", 256))
-    copies = rows.groupBy("key").agg(F.max("page_id").alias("keep"), F.count("*").alias("n"), F.first(F.octet_length("payload")).alias("size"))
+    payload = F.coalesce("html", F.lit("")).cast("binary")
+    light = pages.select("page_id", F.sha2(payload, 256).alias("key"), F.octet_length(payload).alias("size"))
+    copies = light.groupBy("key").agg(F.max("page_id").alias("keep"), F.count("*").alias("n"), F.first("size").alias("size"))
     copies = copies.filter(f"n > 1 and size >= {int(min_bytes)}").select("key", "keep")
-    marked = rows.join(copies, "key", "left").select("page_id", "url", "payload", F.when(F.col("page_id").eqNullSafe(F.col("keep")), None).otherwise(F.col("keep")).alias("refers_to"))
+    carried = T.StructType([T.StructField("page_id", id_type), T.StructField("url", T.StringType()), T.StructField("payload", T.BinaryType()), T.StructField("key", T.StringType()), T.StructField("digest", T.StringType()), T.StructField("size", T.LongType())])
+    rows = pages.select("page_id", "url", payload.alias("payload"), F.sha2(payload, 256).alias("key")).mapInArrow(_lightened(min_bytes), carried)
+    marked = rows.join(copies, "key", "left").select("page_id", "url", "payload", "digest", "size", F.when(F.col("page_id").eqNullSafe(F.col("keep")), None).otherwise(F.col("keep")).alias("refers_to"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -217,8 +240,8 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0, sample_byt
 
         for batch in batches:
             for lo in range(0, batch.num_rows, 128):
-                for page_id, url, payload, refers_to in zip(*(c.to_pylist() for c in batch.slice(lo, 128).columns), strict=True):
-                    raw = record(page_id, url, payload, sha1(payload), refers_to, refers_to is not None)
+                for page_id, url, payload, digest, size, refers_to in zip(*(c.to_pylist() for c in batch.slice(lo, 128).columns), strict=True):
+                    raw = record(page_id, url, payload, digest, refers_to, refers_to is not None, size)
                     n += 1
                     if writer:
                         writer.add(raw)
@@ -267,7 +290,7 @@ def read_records(manifest: DataFrame, id_type: T.DataType) -> DataFrame:
                 if rows:
                     yield batch_of(rows)
 
-    back = manifest.select("uri", "records").repartition("uri").mapInArrow(run, schema)
+    back = one_task_each(manifest).select("uri", "records").mapInArrow(run, schema)
     return back.withColumns({"page_id": F.col("page_id").cast(id_type), "refers_to": F.col("refers_to").cast(id_type)})
 
 
