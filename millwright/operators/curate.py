@@ -54,6 +54,6 @@ def curate_all(spark: SparkSession, raw: dict[str, DataFrame], folder: str) -> d
         if name == "telemetry":
             df.repartition("dt").write.mode("overwrite").partitionBy("dt").parquet(path)
         else:
-            df.coalesce(1).write.mode("overwrite").parquet(path)
+            df.repartitionByRange("machine_id").write.mode("overwrite").parquet(path)
         counts[name] = spark.read.parquet(path).count()
     return counts

@@ -50,8 +50,27 @@ def error_pivot(errors: DataFrame) -> DataFrame:
     return known.groupBy("machine_id", "ts").agg(*[F.count(F.when(F.col("error_id") == c, 1)).alias(c) for c in ERROR_CODES])
 
 
-def unknown_codes(errors: DataFrame) -> DataFrame:
-    return errors.filter(~F.col("error_id").isin(*ERROR_CODES)).groupBy("error_id").agg(F.count("*").alias("rows"))
+class UnknownMachine(ValueError):
+    """A machine without model or age."""
+
+
+def require_machines(rows: DataFrame, machines: DataFrame) -> None:
+    """Raises if a machine of ``rows`` is not in ``machines``, or has no model or age there."""
+    known = machines.filter("model is not null and age is not null")
+    if lost := [r[0] for r in rows.select("machine_id").distinct().join(known, "machine_id", "left_anti").orderBy("machine_id").limit(5).collect()]:
+        raise UnknownMachine(f"machines without model or age, such as {lost}")
+
+
+def warnings(tables: dict[str, DataFrame]) -> list[str]:
+    """What features leave out: error codes and models that the vocabulary lacks, with their rows."""
+    codes = unknown_codes(tables["errors"]).select(F.lit("error code").alias("kind"), F.col("error_id").alias("name"), "rows")
+    models = tables["machines"].filter(~F.col("model").isin(*MODELS)).groupBy("model").agg(F.count("*").alias("rows"))
+    found = codes.union(models.select(F.lit("model").alias("kind"), F.col("model").alias("name"), "rows")).orderBy("kind", F.desc("rows"), "name")
+    return [f"unknown {r['kind']} {r['name']}: {r['rows']} rows" for r in found.limit(20).collect()]
+
+
+def unknown_codes(errors: DataFrame, known: tuple[str, ...] = ERROR_CODES) -> DataFrame:
+    return errors.filter(~F.col("error_id").isin(*known)).groupBy("error_id").agg(F.count("*").alias("rows"))
 
 
 def with_errors(telemetry: DataFrame, errors: DataFrame) -> DataFrame:
@@ -113,8 +132,8 @@ def asof_forward_strict(left: DataFrame, right: DataFrame, by: str, name: str, a
     """Adds ``name``: the time of the first ``right`` row strictly after each ``left`` row."""
     keep = left.columns
     rows = left.withColumn("_side", F.lit(1)).unionByName(right.select(by, at).distinct().withColumn("_side", F.lit(0)), allowMissingColumns=True)
-    order = Window.partitionBy(by).orderBy(at, "_side").rowsBetween(1, Window.unboundedFollowing)
-    hit = F.first(F.when(F.col("_side") == 0, F.col(at)), ignorenulls=True).over(order)
+    back = Window.partitionBy(by).orderBy(F.desc(at), F.desc("_side")).rowsBetween(Window.unboundedPreceding, -1)
+    hit = F.last(F.when(F.col("_side") == 0, F.col(at)), ignorenulls=True).over(back)
     return rows.withColumn(name, hit).filter("_side = 1").select(*keep, name)
 
 

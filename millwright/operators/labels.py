@@ -34,13 +34,11 @@ def failure_context(grid: DataFrame, failures: DataFrame) -> DataFrame:
     moments = failures.select("machine_id", "ts").distinct().select("machine_id", "ts", F.lit(True).alias("failed"))
     rows = grid.select("machine_id", "ts", F.lit(False).alias("failed")).unionByName(moments)
     at = F.when(F.col("failed"), F.col("ts"))
-    # A failure at a grid row's own time sorts before it: it is the last failure, not the next.
-    order = Window.partitionBy("machine_id").orderBy("ts", F.col("failed").desc())
-    rows = rows.select(
-        "*",
-        F.first(at, ignorenulls=True).over(order.rowsBetween(1, Window.unboundedFollowing)).alias("next_failure_ts"),
-        F.last(at, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0)).alias("last_failure_ts"),
-    )
+    # A failure at a grid row's own time is the last failure, not the next. Both orders look at rows
+    # passed so far only, as frames that reach forward are computed anew for each row.
+    back = Window.partitionBy("machine_id").orderBy(F.desc("ts"), "failed").rowsBetween(Window.unboundedPreceding, -1)
+    order = Window.partitionBy("machine_id").orderBy("ts", F.col("failed").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.select("*", F.last(at, ignorenulls=True).over(back).alias("next_failure_ts"), F.last(at, ignorenulls=True).over(order).alias("last_failure_ts"))
     return rows.filter(~F.col("failed")).drop("failed")
 
 

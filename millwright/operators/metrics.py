@@ -57,13 +57,40 @@ def ranking_metrics(rows: DataFrame) -> DataFrame:
     )
 
 
+def exact_percentiles(rows: DataFrame, probabilities: list[float], buckets: int = 256) -> DataFrame:
+    """(key, p, value): percentiles of ``value`` per ``key``, linearly interpolated and exact.
+
+    Ranks are taken in two levels, within buckets cut at approximate quantiles and
+    over them, so no task holds all values of a key. Nulls do not count; a key
+    without values gives no row.
+    """
+    own = rows.filter("value is not null").groupBy("key", "value").agg(F.count("*").alias("n"))
+    edges = F.array_distinct(F.percentile_approx("value", [i / buckets for i in range(1, buckets)], 10 * buckets))
+    cuts = own.groupBy("key").agg(F.sum("n").alias("total"), edges.alias("edges"))
+    own = own.join(cuts, "key").withColumn("bucket", _place(F.col("value"), F.col("edges")))
+    inside = Window.partitionBy("key", "bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    own = own.select("key", "bucket", "value", "n", "total", F.sum("n").over(inside).alias("upto"))
+    bases = own.groupBy("key", "bucket").agg(F.max("upto").alias("in_bucket"))
+    before = Window.partitionBy("key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)  # a row per bucket
+    bases = bases.select("key", "bucket", F.coalesce(F.sum("in_bucket").over(before), F.lit(0)).alias("base"))
+    own = own.join(bases, ["key", "bucket"]).select("key", "value", "total", (F.col("base") + F.col("upto")).alias("hi"), (F.col("base") + F.col("upto") - F.col("n")).alias("lo"))
+    wanted = F.array(*[F.struct(F.lit(float(p)).alias("p"), ((F.col("total") - 1) * F.lit(float(p))).alias("at")) for p in probabilities])
+    hits = own.withColumn("wanted", F.filter(wanted, lambda w: (F.ceil(w["at"]) >= F.col("lo")) & (F.floor(w["at"]) < F.col("hi"))))
+    hits = hits.filter(F.size("wanted") > 0).select("key", "value", "lo", "hi", F.explode("wanted").alias("w")).select("key", "value", "lo", "hi", "w.p", "w.at")
+    held = lambda k: (k >= F.col("lo")) & (k < F.col("hi"))
+    ends = hits.groupBy("key", "p").agg(F.first("at").alias("at"), F.max(F.when(held(F.floor("at")), F.col("value"))).alias("low"), F.max(F.when(held(F.ceil("at")), F.col("value"))).alias("high"))
+    value = F.when(F.col("low") == F.col("high"), F.col("low")).otherwise((F.ceil("at") - F.col("at")) * F.col("low") + (F.col("at") - F.floor("at")) * F.col("high"))
+    return ends.select("key", "p", value.alias("value"))
+
+
 def threshold_grid(rows: DataFrame, max_points: int = MAX_CURVE_POINTS) -> DataFrame:
     """One row, array ``grid``: the distinct scores, or their quantiles if there are more than ``max_points``."""
     few = rows.select("score").distinct().limit(max_points + 1)
     if few.count() <= max_points:
         return few.agg(F.sort_array(F.collect_list("score")).alias("grid"))
     steps = [i / (max_points - 1) for i in range(max_points)]
-    return rows.agg(F.sort_array(F.array_distinct(F.percentile("score", F.array(*map(F.lit, steps))))).alias("grid"))
+    found = exact_percentiles(rows.select(F.lit(0).alias("key"), F.col("score").alias("value")), steps)
+    return found.agg(F.sort_array(F.collect_set("value")).alias("grid"))
 
 
 def _place(score: Column, grid: Column) -> Column:
@@ -156,7 +183,8 @@ def confusion(rows: DataFrame, threshold: Column) -> DataFrame:
 
 def rules_cutoff(train: DataFrame, feature: str = RULES_FEATURE) -> DataFrame:
     """One row: the training percentile of the feature, linearly interpolated."""
-    return train.agg(F.percentile(feature, F.lit(RULES_PERCENTILE)).alias("cutoff"))
+    found = exact_percentiles(train.select(F.lit(0).alias("key"), F.col(feature).cast("double").alias("value")), [RULES_PERCENTILE])
+    return found.agg(F.max("value").alias("cutoff"))
 
 
 def rules_score(feature: Column, cutoff: Column) -> Column:

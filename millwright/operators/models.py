@@ -2,22 +2,24 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable
 from dataclasses import asdict, dataclass, field
-from pathlib import Path
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millwright.functions.contract import SENSORS, Contract, ContractError
 from millwright.settings import Settings
+from millwright.sources import files
 
 from . import metrics
+from .scoring import top_drivers
 
 ALARM_BUDGET = 1.0
 
@@ -51,9 +53,17 @@ def _weighted(train: DataFrame) -> DataFrame:
     return train.withColumn("label", F.col("label").cast("double")).withColumn("_weight", weight)
 
 
-def _fit(name: str, train: DataFrame, columns: tuple[str, ...], *stages) -> Fitted:
-    assemble = VectorAssembler(inputCols=list(columns), outputCol="_features", handleInvalid="error")
-    pipeline = Pipeline(stages=[assemble, *stages]).fit(_weighted(train))
+#: What trees see in place of a missing value: below any reading, so that splits can tell it apart.
+MISSING = -1e12
+
+
+def _fit(name: str, train: DataFrame, columns: tuple[str, ...], *stages, fill: bool = False) -> Fitted:
+    """Fits stages on the assembled columns; a missing value is an error unless ``fill`` puts ``MISSING`` in its place."""
+    names = [f"_x_{c}" for c in columns] if fill else list(columns)
+    filled = ", ".join(f"coalesce(nanvl(double(`{c}`), {MISSING}D), {MISSING}D) AS `_x_{c}`" for c in columns)
+    first = [SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__")] if fill else []
+    assemble = VectorAssembler(inputCols=names, outputCol="_features", handleInvalid="error")
+    pipeline = Pipeline(stages=[*first, assemble, *stages]).fit(_weighted(train))
     return Fitted(name, columns, _probability(pipeline), pipeline)
 
 
@@ -73,14 +83,14 @@ def fit_logistic(train: DataFrame, contract: Contract, s: Settings) -> Fitted:
 
 
 def _trees(name: str, train: DataFrame, contract: Contract, **options) -> Fitted:
-    return _fit(name, train, contract.order, GBTClassifier(featuresCol="_features", seed=7, **options, **_OUT))
+    return _fit(name, train, contract.order, GBTClassifier(featuresCol="_features", seed=7, **options, **_OUT), fill=True)
 
 
-def fit_boosted(train: DataFrame, contract: Contract, s: Settings, rounds: int = 60) -> Fitted:
+def fit_boosted(train: DataFrame, contract: Contract, s: Settings, rounds: int = 300) -> Fitted:
     return _trees("boosted", train, contract, maxIter=rounds, maxDepth=5, stepSize=0.06)
 
 
-def fit_boosted_tuned(train: DataFrame, contract: Contract, s: Settings, rounds: int = 100) -> Fitted:
+def fit_boosted_tuned(train: DataFrame, contract: Contract, s: Settings, rounds: int = 500) -> Fitted:
     return _trees("boosted_tuned", train, contract, maxIter=rounds, maxDepth=4, stepSize=0.05, subsamplingRate=0.8, featureSubsetStrategy="0.6")
 
 
@@ -152,8 +162,7 @@ def best_result(results: DataFrame) -> DataFrame:
 def contributions(fitted: Fitted) -> dict[str, Column]:
     """Per-row contributions of a linear model: coefficient times standardised value.
 
-    Trees have none per row here; their global importances stand in, scaled by
-    nothing. Both approximate an explanation and say so by their names.
+    Trees have none as expressions; ``with_drivers`` walks them instead.
     """
     if fitted.pipeline is None:
         return {c: F.col(c) for c in fitted.columns}
@@ -162,7 +171,57 @@ def contributions(fitted: Fitted) -> dict[str, Column]:
         scale = fitted.pipeline.stages[1]
         parts = zip(fitted.columns, model.coefficients.toArray(), scale.mean.toArray(), scale.std.toArray(), strict=True)
         return {c: (F.col(c) - float(m)) / float(sd or 1.0) * float(w) for c, w, m, sd in parts}
-    return {c: F.lit(float(w)) for c, w in zip(fitted.columns, model.featureImportances.toArray(), strict=True)}
+    return {}
+
+
+def _walked(tree) -> tuple[np.ndarray, ...]:
+    """(feature, threshold, left, right, value) of a tree's nodes; feature -1 in a leaf."""
+    rows: list[list[float]] = []
+
+    def add(node) -> int:
+        at = len(rows)
+        rows.append([-1, 0.0, at, at, node.prediction()])
+        if node.numDescendants():
+            split = node.split()
+            rows[at][:2] = [split.featureIndex(), split.threshold()]
+            rows[at][2], rows[at][3] = add(node.leftChild()), add(node.rightChild())
+        return at
+
+    add(tree._call_java("rootNode"))
+    feature, threshold, left, right, value = zip(*rows, strict=True)
+    return np.array(feature, int), np.array(threshold), np.array(left, int), np.array(right, int), np.array(value)
+
+
+def path_contributions(x: np.ndarray, trees: list[tuple[np.ndarray, ...]], weights: list[float]) -> np.ndarray:
+    """Per row and feature: how much the splits on the feature moved the row's margin on its way down."""
+    out, every = np.zeros(x.shape), np.arange(len(x))
+    for (feature, threshold, left, right, value), w in zip(trees, weights, strict=True):
+        at = np.zeros(len(x), int)
+        while (inner := feature[at] >= 0).any():
+            f = np.maximum(feature[at], 0)
+            to = np.where(inner, np.where(x[every, f] <= threshold[at], left[at], right[at]), at)
+            np.add.at(out, (every, f), w * (value[to] - value[at]))
+            at = to
+    return out
+
+
+def with_drivers(fitted: Fitted, df: DataFrame, k: int = 3) -> DataFrame:
+    """Adds ``top_drivers``: the k columns that moved each row's score most; of equals the first name.
+
+    Linear models and rules by expressions; trees by their paths, in Arrow batches.
+    """
+    if fitted.pipeline is None or not hasattr(fitted.pipeline.stages[-1], "trees"):
+        return df.withColumn("top_drivers", top_drivers(contributions(fitted), k))
+    model, names = fitted.pipeline.stages[-1], np.array(fitted.columns)
+    trees, weights, by_name = [_walked(t) for t in model.trees], list(model.treeWeights), np.argsort(np.array(fitted.columns))
+
+    @F.pandas_udf("array<string>")
+    def listed(columns: pd.DataFrame) -> pd.Series:
+        moved = np.abs(path_contributions(columns.fillna(MISSING).to_numpy(float), trees, weights))
+        first = np.argsort(-moved[:, by_name], axis=1, kind="stable")[:, :k]
+        return pd.Series([names[by_name[row]].tolist() for row in first])
+
+    return df.withColumn("top_drivers", listed(F.struct(*[F.col(c).cast("double") for c in fitted.columns])))
 
 
 class RegistryError(ValueError):
@@ -174,15 +233,14 @@ def save_bundle(fitted: Fitted, folder: str, contract: Contract, version: str) -
     meta = {"name": fitted.name, "version": version, "columns": list(fitted.columns), "feature_order": list(contract.order), "feature_hash": contract.hash, **fitted.details}
     if fitted.pipeline is not None:
         fitted.pipeline.write().overwrite().save(f"{folder}/pipeline")
-    Path(folder).mkdir(parents=True, exist_ok=True)
-    Path(folder, "metadata.json").write_text(json.dumps(meta, indent=1))
+    files.write_json(meta, f"{folder}/metadata.json")
     return meta
 
 
 def load_bundle(folder: str) -> tuple[Fitted, dict]:
     from millwright.functions.contract import order_hash
 
-    meta = json.loads(Path(folder, "metadata.json").read_text())
+    meta = files.read_json(f"{folder}/metadata.json")
     if order_hash(meta["feature_order"]) != meta["feature_hash"]:
         raise ContractError("the bundle's order does not match its hash")
     if meta["name"] == "rules":
@@ -197,26 +255,32 @@ class Registry:
     """Versions of models in a JSON file, one of them champion."""
 
     def __init__(self, folder: str) -> None:
-        self._file = Path(folder, "registry.json")
+        self._file = f"{folder.rstrip('/')}/registry.json"
 
     def _read(self) -> dict:
-        return json.loads(self._file.read_text()) if self._file.exists() else {"versions": [], "champion": None}
+        return files.read_json(self._file) if files.exists(self._file) else {"versions": [], "champion": None}
 
     def register(self, bundle: str, pr_auc: float, promote: bool = True) -> int:
-        meta_file = Path(bundle, "metadata.json")
-        if not meta_file.exists():
+        if not files.exists(f"{bundle}/metadata.json"):
             raise RegistryError("no model in the bundle")
-        meta = json.loads(meta_file.read_text())
+        meta = files.read_json(f"{bundle}/metadata.json")
         if lost := [k for k in ("feature_hash", "threshold") if meta.get(k) is None]:
             raise RegistryError(f"bundle lacks {lost}")
         state = self._read()
         version = len(state["versions"]) + 1
         state["versions"].append({"version": version, "bundle": bundle, "pr_auc": pr_auc, "feature_hash": meta["feature_hash"]})
         state["champion"] = version if promote else state["champion"]
-        self._file.parent.mkdir(parents=True, exist_ok=True)
-        self._file.write_text(json.dumps(state, indent=1))
+        files.write_json(state, self._file)
         return version
 
+    def promote(self, version: int) -> dict:
+        """Makes a version the champion."""
+        state = self._read()
+        if not 1 <= version <= len(state["versions"]):
+            raise RegistryError(f"no version {version}")
+        files.write_json(state | {"champion": version}, self._file)
+        return state["versions"][version - 1]
+
     def best(self) -> dict:
         """The version of largest PR-AUC; NaN does not count."""
         known = [v for v in self._read()["versions"] if v["pr_auc"] == v["pr_auc"]]

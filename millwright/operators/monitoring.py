@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from millwright.functions.timeutil import HOUR_US, micros_between
 
 from .features import asof_forward_strict
-from .metrics import HOURS_PER_MONTH, confusion, ranking_metrics
+from .metrics import HOURS_PER_MONTH, confusion, exact_percentiles, ranking_metrics
 
 #: Quantiles that cut the bins, the floor of a share, and severity bands.
 DECILES = tuple(i / 10 for i in range(1, 10))
@@ -28,8 +28,10 @@ def finite(c: Column) -> Column:
 
 def cut_points(values: DataFrame) -> DataFrame:
     """Distinct inner deciles per feature."""
-    cuts = F.percentile("value", F.array(*map(F.lit, DECILES)))
-    return values.filter(finite(F.col("value"))).groupBy("feature").agg(F.array_sort(F.array_distinct(cuts)).alias("cuts"), F.avg("value").alias("mean"))
+    known = values.filter(finite(F.col("value")))
+    found = exact_percentiles(known.select(F.col("feature").alias("key"), "value"), list(DECILES))
+    cuts = found.groupBy(F.col("key").alias("feature")).agg(F.array_sort(F.collect_set("value")).alias("cuts"))
+    return cuts.join(known.groupBy("feature").agg(F.avg("value").alias("mean")), "feature")
 
 
 def proportions(values: DataFrame, cuts: DataFrame) -> DataFrame:
@@ -46,7 +48,8 @@ def proportions(values: DataFrame, cuts: DataFrame) -> DataFrame:
 def build_reference(df: DataFrame, features: list[str]) -> DataFrame:
     """The profile: (feature, cuts, mean, shares)."""
     values = long_form(df, features)
-    cuts = cut_points(values)
+    found = cut_points(values)
+    cuts = df.sparkSession.createDataFrame(found.collect(), found.schema)  # a row per feature; several plans below read it
     shares = proportions(values, cuts).groupBy("feature").agg(F.transform(F.array_sort(F.collect_list(F.struct("bin", "share"))), lambda x: x["share"]).alias("shares"))
     return cuts.join(shares, "feature")
 

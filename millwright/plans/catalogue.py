@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,11 +12,13 @@ from pyspark.sql import types as T
 
 from millwright.functions.contract import build_contract, incomplete_rows
 from millwright.functions.timeutil import ntz
-from millwright.operators import curate, features, labels, metrics, monitoring, scoring, splits, staging, validate
-from millwright.sources import adapters
+from millwright.operators import curate, features, labels, metrics, models, monitoring, scoring, splits, staging, validate
+from millwright.sources import adapters, files
 from millwright.sources.adapters import LINE_SETTINGS, SETTINGS
 
 S = SETTINGS
+#: Digits of the line series: enough that means of a few readings with two decimals meet no tie.
+LINE_DIGITS = 7
 #: Machines and hours that the alarm rates of the curve queries refer to.
 CURVE_MACHINES, CURVE_HOURS = 150, 144.0
 
@@ -54,14 +57,21 @@ class Inputs:
     def components(self) -> DataFrame:
         return labels.labels_by_component(self.grid, self.failures, S)
 
+    @cached_property
+    def _cutoff(self) -> float | None:
+        """The rules model's cut-off, one number."""
+        return metrics.rules_cutoff(self._spread.filter("split = 'train'"), "x").first()[0]
+
+    @property
+    def _spread(self) -> DataFrame:
+        std = features.rolling_features(self.telemetry, 24).select("machine_id", "ts", F.col("vibration_std_24h").alias("x"))
+        return self.kept.join(std, ["machine_id", "ts"]).filter("x is not null")
+
     @property
     def scored(self) -> DataFrame:
         """Training rows with the rules model's score to three digits."""
-        std = features.rolling_features(self.telemetry, 24).select("machine_id", "ts", F.col("vibration_std_24h").alias("x"))
-        rows = self.kept.join(std, ["machine_id", "ts"]).filter("x is not null")
-        cut = rows.filter("split = 'train'").agg(F.percentile("x", F.lit(metrics.RULES_PERCENTILE)).alias("c"))
-        both = rows.crossJoin(F.broadcast(cut))  # one row
-        return both.select("machine_id", "ts", "label", "split", F.round(metrics.rules_score(F.col("x"), F.col("c")), 3).alias("score"))
+        score = metrics.rules_score(F.col("x"), F.lit(self._cutoff).cast("double"))
+        return self._spread.select("machine_id", "ts", "label", "split", F.round(score, 3).alias("score"))
 
     @property
     def curve(self) -> DataFrame:
@@ -95,11 +105,46 @@ def _completeness(i: Inputs) -> DataFrame:
 def _drift(i: Inputs) -> DataFrame:
     rows = i.kept.join(i.telemetry, ["machine_id", "ts"])
     sensors = ["volt", "rotate", "pressure", "vibration"]
-    reference = monitoring.build_reference(rows.filter("split = 'train'"), sensors)
-    return monitoring.drift_report(reference, rows.filter("split = 'test'"), sensors)
+    return _kept(monitoring.drift_report(_kept(monitoring.build_reference(rows.filter("split = 'train'"), sensors)), rows.filter("split = 'test'"), sensors))
+
+
+def _kept(per_feature: DataFrame) -> DataFrame:
+    """A table of one row per feature, computed once."""
+    return per_feature.sparkSession.createDataFrame(per_feature.collect(), per_feature.schema)
 
 
 AS_OF = datetime(2024, 1, 26)
+PAYLOAD_AT = datetime(2024, 1, 25)
+
+
+def _sent(batch: DataFrame) -> DataFrame:
+    """A scoring batch as a model server gets it: encoded to payload lines and decoded by its schema."""
+    return files.decode_payload(files.encode_payload(batch, [c for c in batch.columns if c not in ("machine_id", "ts")]), batch.schema)
+
+
+def _score_run(i: Inputs) -> DataFrame:
+    """The newest tick of each machine through payloads, scored by the rules model of the training rows."""
+    contract = build_contract(S)
+    train = i.kept.filter("split = 'train'").join(features.rolling_features(i.telemetry, 24), ["machine_id", "ts"])
+    fitted = models.fit_rules(train, contract, S)
+    predicted = rounded(fitted.predict(_sent(features.scoring_matrix(i.tables, S, PAYLOAD_AT, latest_only=True))).select("machine_id", "ts", "probability")).filter("probability is not null")
+    rows = scoring.score_rows(predicted.withColumn("scored_at", ntz(PAYLOAD_AT)), 0.45, S.prediction_horizon_hours, "rules-1", contract.hash)
+    return rows.select("machine_id", "ts", "scored_at", "probability", "decision")
+
+
+def _held(i: Inputs) -> DataFrame:
+    """All training rows, those of held-out machines moved to test."""
+    return splits.apply_holdout(i.kept, splits.holdout_machines(i.kept, 0.2, seed=3))
+
+
+def _drift_all(i: Inputs) -> DataFrame:
+    """Drift of all features of the contract from the train to the test period."""
+    rows, order = rounded(features.training_matrix(i.tables, S)).persist(), list(build_contract(S).order)
+    try:
+        reference = _kept(monitoring.build_reference(rows.filter("split = 'train'"), order))
+        return _kept(rounded(monitoring.drift_report(reference, rows.filter("split = 'test'"), order).select("feature", "psi")))
+    finally:
+        rows.unpersist()
 
 
 def _outcomes(i: Inputs) -> DataFrame:
@@ -133,7 +178,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "validate_nulls": lambda i: validate.null_counts(features.compute_features(i.tables, S).drop("machine_id", "ts")),
     "validate_ranges": lambda i: rounded(validate.out_of_range(i.telemetry)),
     "validate_gaps": lambda i: validate.gaps(i.telemetry),
-    "validate_unknown_machines": lambda i: validate.unknown_machines(i.failures, i.machines.filter("age >= 5")),
+    "validate_unknown_machines": lambda i: validate.unknown_machines(i.failures, i.machines),
     "validate_never_failing": lambda i: validate.never_failing(i.machines, i.failures),
     "validate_issues": lambda i: validate.validate_all(i.tables),
     "curate_telemetry": lambda i: curate.curate_telemetry(i.lines),
@@ -156,25 +201,30 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "drift_psi": lambda i: rounded(_drift(i)),
     "outcomes": _outcomes,
     "performance_confusion": lambda i: rounded(monitoring.evaluate_period(i.scores, i.failures, ntz(AS_OF), S.prediction_horizon_hours), 9),
+    "payload_round_trip": lambda i: rounded(_sent(features.scoring_matrix(i.tables, S, PAYLOAD_AT, latest_only=True))),
+    "score_run": _score_run,
+    "unknown_codes": lambda i: features.unknown_codes(i.errors, ("error1",)),
+    "apply_holdout": _held,
+    "drift_psi_all": _drift_all,
     "implied_threshold": lambda i: monitoring.implied_threshold(i.scores),
     **{f"rolling_stats_{w}h": lambda i, w=w: rounded(features.rolling_features(i.telemetry, w)) for w in S.window_sizes_hours},
-    **{f"line_rolling_stats_{w}h": lambda i, w=w: rounded(features.rolling_features(staging.stage_telemetry(i.lines), w), 4) for w in LINE_SETTINGS.window_sizes_hours[:1]},
+    **{f"line_rolling_stats_{w}h": lambda i, w=w: rounded(features.rolling_features(staging.stage_telemetry(i.lines), w), LINE_DIGITS) for w in LINE_SETTINGS.window_sizes_hours},
 }
 
 
+#: Rounds of the registered boosted query; ``fit_boosted`` itself takes 300.
+BOOSTED_ROUNDS = 20
+
+
 def _model(fit: str) -> Callable[[SparkSession, str], DataFrame]:
-    """Scores of the val rows by a model fitted on the train rows that have all sensors' day statistics."""
+    """Scores of the val rows by a model fitted on the train rows: readings for the logistic model, all features for trees."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        from millwright.operators import models
-
         i = Inputs(spark, sf_dir)
-        rows = i.kept.join(i.telemetry, ["machine_id", "ts"]).persist()
+        contract = build_contract(S)
+        rows = i.kept.join(i.telemetry, ["machine_id", "ts"]) if fit == "logistic" else features.training_matrix(i.tables, S)
         train = rows.filter("split = 'train'")
-        if fit == "logistic":
-            fitted = models.fit_logistic(train, build_contract(S), S)
-        else:
-            fitted = models._fit("boosted", train, features.SENSORS, models.GBTClassifier(featuresCol="_features", seed=7, maxIter=3, maxDepth=3, **models._OUT))
+        fitted = models.fit_logistic(train, contract, S) if fit == "logistic" else models.fit_boosted(train, contract, S, BOOSTED_ROUNDS)
         return fitted.predict(rows.filter("split = 'val'")).select("machine_id", "ts", "label", "probability")
 
     return run

@@ -9,6 +9,8 @@ from millwright.sources.schemas import RANGES
 WINDOWS = SETTINGS.window_sizes_hours
 HOUR = 3_600_000_000
 
+#: First date of the payloads' round trip.
+PAYLOAD_TS = "2024-01-25 00:00:00"
 _CODES = " ".join(f"WHEN '{e}' THEN '{c}'" for e, c in EVENT_ERRORS.items())
 _RELATIONS = {
     "ev": r"""SELECT user_id::INT AS machine_id, ts AS at, date_trunc('hour', ts)::TIMESTAMP AS ts, event_type, value,
@@ -150,6 +152,37 @@ judged AS (SELECT r.*, coalesce(epoch_us(f.ts) - epoch_us(r.scored_at) <= {24 *
 )
 
 
+_HOLDOUT = """, per AS (SELECT machine_id, max(label) AS ever_fails FROM kept GROUP BY 1),
+r AS (SELECT *, row_number() OVER (PARTITION BY ever_fails ORDER BY (machine_id::BIGINT * 7919 + 3) % 104729, machine_id) AS rn, count(*) OVER (PARTITION BY ever_fails) AS n FROM per),
+held AS (SELECT machine_id FROM r WHERE rn <= greatest(1, round_even(n * 0.2::DOUBLE, 0)))"""
+#: The newest tick of each machine, scored by the rules model at its threshold.
+_SCORE_RUN = (
+    _FEATURES.rstrip()
+    + f""", std AS (SELECT machine_id, ts, stddev_samp(vibration) OVER (PARTITION BY machine_id ORDER BY epoch_us(ts) RANGE BETWEEN {24 * HOUR - 1} PRECEDING AND CURRENT ROW) AS x FROM telemetry),
+cut AS (SELECT quantile_cont(x, 0.99) AS c FROM kept JOIN std USING (machine_id, ts) WHERE split = 'train'),
+last AS (SELECT * FROM (SELECT machine_id, ts, max(ts) OVER (PARTITION BY machine_id) AS last_ts FROM features WHERE {_ON_CADENCE} AND ts <= TIMESTAMP '{PAYLOAD_TS}') WHERE ts = last_ts),
+scored AS (SELECT machine_id, ts, round(1 / (1 + exp(-(x - c) / greatest(abs(c), 1e-9))), 6) AS probability FROM last JOIN std USING (machine_id, ts), cut)
+SELECT machine_id, ts, TIMESTAMP '{PAYLOAD_TS}' AS scored_at, probability, CASE WHEN probability >= 0.45 THEN 'act' WHEN probability >= 0.225 THEN 'watch' ELSE 'ok' END AS decision FROM scored WHERE probability IS NOT NULL"""
+)
+
+
+def _psi_of(relation: str, features) -> str:
+    """Index of each feature of a relation with split, and its severity; means left out."""
+    parts = " UNION ALL ".join(f"SELECT '{f}' AS feature, split, {f}::DOUBLE AS v FROM {relation}" for f in features)
+    cuts = ", ".join(str(i / 10) for i in range(1, 10))
+    return f""", v AS (SELECT * FROM ({parts}) WHERE v IS NOT NULL),
+cuts AS (SELECT feature, list_sort(list_distinct(quantile_cont(v, [{cuts}]))) AS cuts FROM v WHERE split = 'train' GROUP BY 1),
+binned AS (SELECT feature, split, len(list_filter(cuts, lambda c: c <= v)) AS bin, count(*) AS n FROM v JOIN cuts USING (feature) WHERE split IN ('train', 'test') GROUP BY ALL),
+bins AS (SELECT feature, unnest(range(len(cuts) + 1)) AS bin, len(cuts) + 1 AS k FROM cuts),
+sides AS (SELECT b.feature, s.split, b.bin, coalesce(coalesce(n, 0) / (sum(n) OVER (PARTITION BY b.feature, s.split))::DOUBLE, 1.0::DOUBLE / k) AS share
+  FROM bins b CROSS JOIN (SELECT unnest(['train', 'test']) AS split) s LEFT JOIN binned x ON x.feature = b.feature AND x.split = s.split AND x.bin = b.bin)
+SELECT a.feature, round(sum((greatest(a.share, 1e-6) - greatest(e.share, 1e-6)) * ln(greatest(a.share, 1e-6) / greatest(e.share, 1e-6))), 6) AS psi
+  FROM sides a JOIN sides e ON a.feature = e.feature AND a.bin = e.bin AND a.split = 'test' AND e.split = 'train' GROUP BY 1"""
+
+
+_FEATURES_DRIFT = _FEATURES.rstrip() + ", t AS (SELECT features.*, split FROM kept JOIN features USING (machine_id, ts))" + _psi_of("t", feature_order(WINDOWS))
+
+
 def oracles() -> dict[str, str]:
     tel = with_("ev", "telemetry")
     out = {
@@ -178,7 +211,7 @@ def oracles() -> dict[str, str]:
         "validate_nulls": _FEATURES + "SELECT * FROM (" + " UNION ALL ".join(f"SELECT '{c}' AS \"column\", count(*) FILTER ({c} IS NULL) AS nulls FROM features" for c in feature_order(WINDOWS)) + ") WHERE nulls > 0",
         "validate_ranges": tel + "SELECT * FROM (" + " UNION ALL ".join(f"SELECT '{s}' AS sensor, count(*) FILTER ({b}) AS rows, round(min({s}) FILTER ({b}), 6) AS lowest, round(max({s}) FILTER ({b}), 6) AS highest FROM telemetry" for s, b in _BAD.items()) + ") WHERE rows > 0",
         "validate_gaps": tel + f"SELECT * FROM (SELECT machine_id, lag(ts) OVER w AS from_ts, ts AS to_ts, (epoch_us(ts) - epoch_us(lag(ts) OVER w)) / {float(HOUR)} AS hours FROM telemetry WINDOW w AS (PARTITION BY machine_id ORDER BY ts)) WHERE hours > 1",
-        "validate_unknown_machines": with_("ev", "failures", "machines") + "SELECT machine_id, count(*) AS rows FROM failures WHERE machine_id NOT IN (SELECT machine_id FROM machines WHERE age >= 5) GROUP BY ALL",
+        "validate_unknown_machines": with_("ev", "failures", "machines") + "SELECT machine_id, count(*) AS rows FROM failures WHERE machine_id NOT IN (SELECT machine_id FROM machines) GROUP BY ALL",
         "validate_never_failing": with_("ev", "failures", "machines") + "SELECT machine_id FROM machines WHERE machine_id NOT IN (SELECT machine_id FROM failures)",
         "curate_telemetry": with_("lines") + f", {_LINE_ONE} SELECT machine_id, ts, " + ", ".join(f"CASE WHEN NOT {b} THEN {s} END AS {s}" for s, b in _BAD.items()) + f", {' OR '.join(_BAD.values())} AS had_out_of_range, strftime(ts, '%Y-%m-%d') AS dt FROM one",
         "curate_events": with_("ev", "maint") + "SELECT DISTINCT machine_id, ts, component, strftime(ts, '%Y-%m-%d') AS dt FROM maint",
@@ -199,7 +232,7 @@ SELECT machine_id, ever_fails FROM r WHERE rn <= greatest(1, round_even(n * 0.2:
         "risk_bands": _SCORED + f", {_BANDED} SELECT * FROM scores",
         "score_summary": _SCORED + f", {_BANDED} SELECT count(*) AS scored, count(*) FILTER (decision = 'act') AS act, count(*) FILTER (decision = 'watch') AS watch, count(*) FILTER (decision = 'ok') AS ok, max(probability) AS max_probability FROM scores",
         "work_orders": _SCORED + f""", {_BANDED} SELECT machine_id, CASE WHEN probability >= 0.9 THEN 'P1' WHEN probability >= 0.5625 THEN 'P2' ELSE 'P3' END AS priority, scored_at AS raised_at, scored_at + INTERVAL 24 HOUR AS due_by, probability, horizon_hours,
-  'Predicted failure risk ' || printf('%.1f%%', probability * 100) || ' within 24h (threshold ' || printf('%.1f%%', threshold * 100) || '). Top drivers: no per-row explanation available.' AS reason FROM scores WHERE decision = 'act'""",
+  'Risk ' || printf('%.1f%%', probability * 100) || ' of failing in the next 24 hours, limit ' || printf('%.1f%%', threshold * 100) AS reason FROM scores WHERE decision = 'act'""",
         "drift_psi": _psi(SENSORS),
         "outcomes": _OUTCOMES + "SELECT machine_id, scored_at, next_failure_ts, label FROM judged",
         "performance_confusion": _OUTCOMES + f""", r AS ({_RANK.format(source="(SELECT probability AS score, label FROM judged)")}),
@@ -208,10 +241,15 @@ c AS (SELECT count(*) AS scored_rows, min(scored_at) AS period_start, max(scored
   count(*) FILTER (probability < threshold AND label = 1) AS false_negatives, count(*) FILTER (probability < threshold AND label = 0) AS true_negatives FROM judged)
 SELECT c.*, (SELECT count(*) FROM scores) - scored_rows AS pending_rows, round(true_positives / greatest(true_positives + false_negatives, 1)::DOUBLE, 9) AS recall, round(true_positives / greatest(true_positives + false_positives, 1)::DOUBLE, 9) AS precision, r.*,
   round(false_positives / nullif(machines * (epoch_us(period_end) - epoch_us(period_start)) / ({HOUR} * 730.0::DOUBLE), 0), 9) AS alarms_per_machine_month FROM c, r""",
+        "payload_round_trip": _FEATURES + f"SELECT * EXCLUDE (last_ts) FROM (SELECT *, max(ts) OVER (PARTITION BY machine_id) AS last_ts FROM features WHERE {_ON_CADENCE} AND ts <= TIMESTAMP '{PAYLOAD_TS}') WHERE ts = last_ts",
+        "score_run": _SCORE_RUN,
+        "unknown_codes": with_("ev", "errors") + "SELECT error_id, count(*) AS rows FROM errors WHERE error_id <> 'error1' GROUP BY 1",
+        "apply_holdout": with_(*_LABELS) + f"""{_HOLDOUT} SELECT machine_id, ts, label, CASE WHEN h THEN 'test' ELSE split END AS split, h AS held_out FROM (SELECT *, machine_id IN (SELECT machine_id FROM held) AS h FROM kept)""",
+        "drift_psi_all": _FEATURES_DRIFT,
         "implied_threshold": _SCORED + f", {_BANDED} SELECT coalesce(min(probability) FILTER (decision = 'act'), 'inf'::DOUBLE) AS threshold FROM scores",
     }
     for w in WINDOWS:
         out[f"rolling_stats_{w}h"] = with_("ev", "telemetry", "errors", "pivoted", "counted") + _select(_rolling((w,)), "counted")
-    for w in LINE_SETTINGS.window_sizes_hours[:1]:
-        out[f"line_rolling_stats_{w}h"] = with_("lines") + f", {_LINE_ONE}, counted AS (SELECT *, epoch_us(ts) AS us FROM one) " + _select(_rolling((w,)), "counted", 4)
+    for w in LINE_SETTINGS.window_sizes_hours:
+        out[f"line_rolling_stats_{w}h"] = with_("lines") + f", {_LINE_ONE}, counted AS (SELECT *, epoch_us(ts) AS us FROM one) " + _select(_rolling((w,)), "counted", 7)
     return out

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import json
-from datetime import datetime
-from pathlib import Path
+import re
+import uuid
+from datetime import UTC, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +22,10 @@ class SourceError(ValueError):
     """A source that lacks a column or cannot be used."""
 
 
+#: Content types of payloads.
+JSON_LINES, JSON, CSV = "application/jsonlines", "application/json", "text/csv"
+_SQL_PART = re.compile(r"'(?:[^']|'')*'|\"(?:[^\"]|\"\")*\"|`[^`]*`|--[^\n]*|/\*.*?\*/|;", re.S)
+
 #: Fixed value: how the landing files write times.
 LANDING_TIME = "M/d/yyyy h:mm:ss a"
 
@@ -47,13 +52,13 @@ def read_landing(spark: SparkSession, folder: str, table: str) -> DataFrame:
 
 
 def write_table(df: DataFrame, folder: str, table: str) -> str:
-    """Replaces a table; telemetry is partitioned by day, one file per day, the small tables are one file."""
+    """Replaces a table; telemetry is partitioned by day, one file per day, other tables are in files by key range."""
     path = f"{folder.rstrip('/')}/{table}"
     if TABLES[table].partitioned:
         out = df.withColumn("dt", day_key(F.col("ts"))).repartition("dt").sortWithinPartitions("dt", *TABLES[table].key)
         out.write.mode("overwrite").partitionBy("dt").parquet(path)
     else:
-        df.coalesce(1).sortWithinPartitions(*TABLES[table].key).write.mode("overwrite").parquet(path)
+        df.repartitionByRange(*TABLES[table].key).sortWithinPartitions(*TABLES[table].key).write.mode("overwrite").parquet(path)
     return path
 
 
@@ -85,7 +90,7 @@ def params(spark: SparkSession, s: Settings) -> DataFrame:
 
 
 def write_by_split(df: DataFrame, path: str) -> None:
-    df.repartition("split").sortWithinPartitions("machine_id", "ts").write.mode("overwrite").partitionBy("split").parquet(path)
+    df.repartitionByRange("split", "machine_id", "ts").sortWithinPartitions("split", "machine_id", "ts").write.mode("overwrite").partitionBy("split").parquet(path)
 
 
 def write_matrix(matrix: DataFrame, path: str, contract: Contract) -> dict:
@@ -102,15 +107,43 @@ def read_matrix(spark: SparkSession, path: str) -> tuple[DataFrame, dict]:
     return spark.read.parquet(f"{path}/matrix"), read_json(f"{path}/manifest.json")
 
 
+def _at(path: str):
+    """(JVM, file system, path) of a URI that Spark can reach; a path without a scheme is of the default store."""
+    spark = SparkSession.active()
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    return jvm, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def exists(path: str) -> bool:
+    _, fs, at = _at(path)
+    return fs.exists(at)
+
+
 def write_json(value: object, path: str) -> None:
-    """A small document on the driver's file system."""
-    target = Path(path.removeprefix("file://"))
-    target.parent.mkdir(parents=True, exist_ok=True)
-    target.write_text(json.dumps(value, indent=1, default=str))
+    """A small document beside the tables; written under another name first, so that no reader sees half of it."""
+    jvm, fs, at = _at(path)
+    half = jvm.org.apache.hadoop.fs.Path(at.getParent(), f".{at.getName()}.{uuid.uuid4().hex}")
+    out = fs.create(half, True)
+    try:
+        out.write(bytearray(json.dumps(value, indent=1, default=str).encode()))
+    finally:
+        out.close()
+    if fs.exists(at):
+        fs.delete(at, False)
+    if not fs.rename(half, at):
+        raise OSError(f"cannot write {path}")
 
 
 def read_json(path: str) -> dict:
-    return json.loads(Path(path.removeprefix("file://")).read_text())
+    jvm, fs, at = _at(path)
+    if not fs.exists(at):
+        raise FileNotFoundError(path)
+    source = fs.open(at)
+    try:
+        return json.loads(bytes(jvm.org.apache.commons.io.IOUtils.toByteArray(source)).decode())
+    finally:
+        source.close()
 
 
 def append_jsonl(df: DataFrame, path: str) -> None:
@@ -124,8 +157,70 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | None = Non
 def write_scores(scores: DataFrame, path: str, run: dict) -> None:
     """Adds a scoring run under the day of its ``scored_at``; array columns become text."""
     flat = scores.withColumn("top_drivers", F.array_join("top_drivers", ",")) if "top_drivers" in scores.columns else scores
-    flat.withColumn("dt", day_key(F.col("scored_at"))).coalesce(1).write.mode("append").partitionBy("dt").parquet(path)
-    write_json(run, f"{path}/_run.json")
+    flat.withColumn("dt", day_key(F.col("scored_at"))).repartition("dt", "machine_id").write.mode("append").partitionBy("dt").parquet(path)
+    at = datetime.now(UTC)
+    write_json(run | {"written_at": at.isoformat()}, f"{path}/_runs/{at:%Y-%m-%d}/{at:%H%M%S}-{uuid.uuid4().hex[:8]}.json")
+
+
+class ScriptError(ValueError):
+    """A script that cannot be run."""
+
+
+def statements(script: str) -> list[str]:
+    """The statements of a SQL script; semicolons in quotes and comments do not end one."""
+    out, own, at = [], [], 0
+    for m in _SQL_PART.finditer(script):
+        own.append(script[at : m.start()])
+        at = m.end()
+        if m[0] == ";":
+            out.append("".join(own))
+            own = []
+        elif m[0][:2] not in ("--", "/*"):
+            own.append(m[0])
+        else:
+            own.append(" ")
+    return [x.strip() for x in [*out, "".join(own) + script[at:]] if x.strip()]
+
+
+def run_script(spark: SparkSession, path: str, values: dict[str, object] | None = None) -> DataFrame | None:
+    """Runs the statements of a stored SQL script in order and returns the last one's rows.
+
+    ``:name`` in a statement takes its value from ``values``.
+    """
+    text = "\n".join(r[0] for r in spark.read.text(path, wholetext=True).collect())
+    found, last = statements(text), None
+    if not found:
+        raise ScriptError(f"{path} holds no statement")
+    for statement in found:
+        named = {k: v for k, v in (values or {}).items() if re.search(rf":{k}\b", statement)}
+        last = spark.sql(statement, args=named) if named else spark.sql(statement)
+    return last
+
+
+def encode_results(rows: DataFrame, content_type: str = JSON_LINES) -> DataFrame:
+    """Results as lines of text in a content type: JSON lines, or CSV without a header."""
+    if content_type == JSON_LINES:
+        return rows.select(F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"}).alias("value"))
+    if content_type == CSV:
+        return rows.select(F.to_csv(F.struct(*rows.columns)).alias("value"))
+    raise SourceError(f"cannot write {content_type}; known are {JSON_LINES} and {CSV}")
+
+
+def decode_batch(spark: SparkSession, path: str, schema: T.StructType, content_type: str = JSON_LINES) -> DataFrame:
+    """A scoring batch from a folder in a content type; JSON may be lines or one document of columns and rows."""
+    if content_type == CSV:
+        return read_csv_payload(spark, path, schema)
+    if content_type == JSON_LINES:
+        return decode_payload(spark.read.text(path), schema)
+    if content_type == JSON:
+        whole = spark.read.text(path, wholetext=True).select(F.from_json("value", "columns array<string>, data array<array<string>>", {"mode": "FAILFAST"}).alias("r")).select("r.*")
+        names = [r[0] for r in whole.select("columns").distinct().collect()]
+        if any(sorted(n or []) != sorted(schema.names) for n in names):
+            raise SourceError(f"payload needs the columns {schema.names}, found {names}")
+        rows = whole.select("columns", F.explode("data").alias("row"))
+        value = lambda f: F.element_at("row", F.array_position("columns", f.name).cast("int"))
+        return rows.select(*[value(f).cast(f.dataType).alias(f.name) for f in schema])
+    raise SourceError(f"cannot read {content_type}; known are {JSON_LINES}, {JSON} and {CSV}")
 
 
 def read_scores(spark: SparkSession, path: str, since: datetime | None = None) -> DataFrame:

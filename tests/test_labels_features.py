@@ -138,3 +138,16 @@ def test_splits(spark, staged):
         splits.verify_splits(rows, 10, 24)
     with pytest.raises(splits.SplitError):
         splits.verify_splits(rows.withColumn("split", F.lit("other")), 24, 24)
+
+
+def test_forward_joins_are_linear(spark):
+    import time
+
+    n = 100_000
+    grid = spark.range(n).selectExpr("1 AS machine_id", "timestamp_ntz '2015-01-01' + make_dt_interval(0, id) AS ts")
+    hits = grid.filter("ts IN (timestamp_ntz '2015-01-02 00:00:00', timestamp_ntz '2020-01-02 00:00:00')")
+    began = time.perf_counter()
+    for got in (features.asof_forward_strict(grid, hits, "machine_id", "next_failure_ts"), labels.failure_context(grid, hits)):
+        rows = got.groupBy("next_failure_ts").count().collect()
+        assert sorted(r["count"] for r in rows) == sorted([24, (datetime(2020, 1, 2) - datetime(2015, 1, 2)).days * 24, n - (datetime(2020, 1, 2) - datetime(2015, 1, 1)).days * 24])
+    assert time.perf_counter() - began < 60

@@ -73,7 +73,7 @@ def test_bands_and_orders(spark):
     orders = scoring.work_orders(scores).orderBy("machine_id").collect()
     assert [r["priority"] for r in orders] == ["P1", "P1", "P2", "P3"]
     assert orders[0]["due_by"] == T0 + timedelta(hours=24) and orders[0]["drivers"] == ["b", "c", "a"]
-    assert orders[0]["reason"] == "Predicted failure risk 90.0% within 24h (threshold 30.0%). Top drivers: b, c, a."
+    assert orders[0]["reason"] == "Risk 90.0% of failing in the next 24 hours, limit 30.0%; mainly b, c, a"
     assert scoring.summary(scores).first().asDict() == {"scored": 6, "act": 4, "watch": 1, "ok": 1, "max_probability": 0.9}
 
 
@@ -104,3 +104,24 @@ def test_performance(spark):
     assert monitoring.implied_threshold(scores.drop("decision")).first()[0] == 0.5
     none = monitoring.evaluate_period(scores, failures, ntz(T0), 24).first()
     assert none["scored_rows"] == 0 and none["pending_rows"] == 8
+
+
+def test_percentiles_are_exact(spark):
+    import numpy as np
+
+    r = np.random.default_rng(2)
+    values = {"a": r.normal(size=3000).tolist(), "b": r.integers(0, 5, 500).astype(float).tolist(), "c": [7.0], "d": [1.0, 2.0]}
+    rows = spark.createDataFrame([(k, v) for k, own in values.items() for v in [*own, None]], "key string, value double")
+    wanted = [0.0, 0.1, 0.5, 0.99, 1.0]
+    got = {(g["key"], g["p"]): g["value"] for g in metrics.exact_percentiles(rows, wanted, buckets=16).collect()}
+    assert got.keys() == {(k, p) for k in values for p in wanted}
+    assert all(np.isclose(got[k, p], np.quantile(values[k], p), atol=1e-12) for k, p in got)
+    assert metrics.exact_percentiles(rows.limit(0), wanted).count() == 0
+
+
+def test_curve_of_many_scores(spark):
+    rows = spark.range(5000).selectExpr("id / 5000D AS score", "cast(id % 50 = 0 AS int) AS label")
+    curve = metrics.cost_curve(rows, 1.0, 10.0, max_points=100).orderBy("threshold").collect()
+    assert len(curve) == 101 and curve[0]["flagged"] == 5000 and curve[-1]["flagged"] == 0
+    for point in curve[::10]:
+        assert point["flagged"] == sum(i / 5000 >= point["threshold"] for i in range(5000))
