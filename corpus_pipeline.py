@@ -9,27 +9,52 @@ from millwright.llm.common import scratch_path, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score below one half, by a model fitted on the labels that apply to them."""
+    """Documents that score below one half, by a model fitted on the labels that apply to them.
+
+    A null or empty text scores like any text without words, repeated rows stay or
+    go together, a null doc_id has no label; further columns pass; an empty table
+    stays empty.
+    """
     return toxicity.clean_documents(docs, table(spark, sf_dir, "labels"))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents with equal texts the one with the smallest doc_id."""
+    """Of documents with equal texts the one with the smallest doc_id.
+
+    Null texts count as empty and so are copies of each other; a null doc_id comes
+    after all others; of rows that tie one stays; further columns pass; an empty
+    table stays empty.
+    """
     return exact_dedup.deduplicated(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by similar shingles the one with the smallest doc_id."""
+    """Of documents linked by similar shingles the one with the smallest doc_id.
+
+    Null and empty texts link with nothing and stay, as do rows without a doc_id;
+    rows that repeat the kept doc_id all stay; further columns pass; an empty
+    table stays empty.
+    """
     return ngram_join.one_per_component(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often, and as far, as the mix of sources takes them."""
+    """Documents as often, and as far, as the mix of sources takes them, in the schedule's order.
+
+    A null source is a source of its own; null and empty texts hold no words to
+    take and are left out; repeated rows count one by one; further columns pass,
+    n_chars being that of the text taken; an empty table stays empty.
+    """
     return mixing.mixed_documents(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of token sequences; ids are replaced by their CRC-32."""
+    """Pieces of token sequences; ids are replaced by their CRC-32.
+
+    A null or empty text is one end id; rows that repeat are packed one by one, a
+    null doc_id stays null; other columns are not read; an empty table gives no
+    pieces.
+    """
     return packing.digest(packing.pack(docs))
 
 
