@@ -234,3 +234,118 @@ def test_pipeline_stage_by_stage(spark):
     for r in held["packing"]:
         per_doc[r["doc_id"]] = per_doc.get(r["doc_id"], 0) + r["length"]
     assert set(per_doc) == {r["doc_id"] for r in held["source mix"]}
+
+
+@pytest.mark.parametrize("empty", [True, False])
+def test_pipeline_of_awkward_tables(spark, tmp_path, empty):
+    import corpus_pipeline as p
+
+    rows = [] if empty else [(1, None, "en", None, None, "x"), (2, "", "en", "a", 0, "x"), (None, "some words here", "en", "a", 15, "x"), (3, "some words here", None, "a", 15, None), (3, "some words here", None, "a", 15, None), (4, "other words " * 9000, "en", "b", 108000, "x")]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, kept string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([] if empty else [(4, None, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = p.run(spark, str(tmp_path)).collect()
+    assert bool(got) != empty and {r["doc_id"] for r in got} <= {3, 4, None}
+    assert all(r["length"] > 0 and r["offset"] + r["length"] <= 2048 for r in got)
+
+
+def test_mix_stage_keeps_the_order_of_the_slots(spark):
+    from millwright.llm import mixing
+
+    rows = [(k, prose(k, 30 + k % 50), "abc"[k % 3]) for k in range(400)]
+    docs = documents(spark, rows)
+    sizes = {d: len(t.split()) for d, t, _ in rows}
+    mixed = mixing.mixed_documents(docs, block_words=64).rdd.mapPartitionsWithIndex(lambda k, part: [(k, r["doc_id"], r["text"]) for r in part]).collect()
+    at, shares, _ = mixing.plan(docs, block_words=64)
+    order = {(r["src"], r["rank"]): r["slot"] for r in mixing.schedule(shares, 64).collect()}
+    readings = sorted((order[r["src"], r["at"] // 64], r["at"], r["doc_id"]) for r in mixing.readings(at, shares).collect())
+    assert [d for _, d, _ in mixed] == [d for _, _, d in readings] and sorted(k for k, _, _ in mixed) == [k for k, _, _ in mixed]
+    whole = {r["doc_id"]: r["taken"] for r in mixing.mix(docs).collect()}
+    taken = {}
+    for _, d, text in mixed:
+        taken[d] = taken.get(d, 0) + len(text.split())
+        assert len(text.split()) <= sizes[d]
+    assert taken == {d: n for d, n in whole.items() if n}
+
+
+def test_estimate_maximises_the_likelihood():
+    """Expectation-maximisation against the same steps written row by row."""
+    r = np.random.default_rng(5)
+    k = len(quality.LABELLERS)
+    truth = r.random(300) < 0.8
+    votes = np.full((300, k), quality.ABSTAIN)
+    for j in range(k):
+        hit = r.random(300) < 0.4
+        votes[hit & ~truth, j] = quality.BAD
+        if j in (6, 9):
+            votes[hit & truth, j] = quality.GOOD
+    codes, counts = np.unique((votes * 3 ** np.arange(k)[::-1]).sum(axis=1), return_counts=True)
+    posterior, table, prior = quality.estimate(codes, counts, rounds=400)
+    start = np.array([quality.VOUCHER if name in quality.VOUCHING else quality.ACCUSER for name in quality.LABELLERS])
+    good_now = [posterior[list(codes).index(c)] for c in (votes * 3 ** np.arange(k)[::-1]).sum(axis=1)]
+    assert prior == pytest.approx((sum(good_now) + 0.8) / 301, abs=1e-6)
+    for j in range(k):
+        for c in (0, 1):
+            weight = [quality.BELIEF * start[j, c, v] + sum((g if c else 1 - g) for g, row in zip(good_now, votes, strict=True) if row[j] == v) for v in range(3)]
+            assert table[j, c] == pytest.approx(np.array(weight) / sum(weight), abs=1e-6)
+    assert np.mean((np.array(good_now) > 0.5) == truth) > 0.9
+
+
+def test_one_tree_is_the_best_split():
+    """A stump against all splits tried one by one."""
+    r = np.random.default_rng(8)
+    x, y = r.integers(0, 6, (200, 3)).astype(float), None
+    y = (x[:, 1] > 2).astype(float) * (r.random(200) < 0.9)
+    model = toxicity.Boosted().fit(x, y, trees=1, depth=1, rate=1.0, bins=200, leaf=1, l2=1.0)
+    feature, threshold, value = model.trees[0]
+    p = y.mean()
+    g, h = y - p, np.full(200, p * (1 - p))
+
+    def gain(j, cut):
+        left = x[:, j] <= cut
+        part = [g[s].sum() ** 2 / (h[s].sum() + 1) for s in (left, ~left)]
+        return sum(part)
+
+    tried = {(j, cut): gain(j, cut) for j in range(3) for cut in range(6) if 0 < (x[:, j] <= cut).sum() < 200}
+    assert (feature[0], threshold[0]) == max(tried, key=tried.get)
+    left = x[:, feature[0]] <= threshold[0]
+    assert value[1] == pytest.approx(g[left].sum() / (h[left].sum() + 1)) and value[2] == pytest.approx(g[~left].sum() / (h[~left].sum() + 1))
+
+
+def test_isotonic_is_the_best_increasing_fit():
+    y = np.array([0, 1, 0, 0, 1, 1, 0, 1.0])
+    x, p = toxicity.isotonic(np.arange(8.0), y)
+    pools = [(0, 1), (1, 4), (4, 7), (7, 8)]
+    means = [y[a:b].mean() for a, b in pools]
+    assert means == sorted(means)
+    assert p[::2] == pytest.approx([(y[a:b].sum() + 0.5) / (b - a + 1) for a, b in pools]) and x[::2].tolist() == [a for a, _ in pools]
+
+
+def test_fitting_samples_are_bounded_by_rows_only(spark):
+    rows = [(f"d{i}", t, "s") for i, (t, _) in enumerate(toxic_corpus(400, 3))]
+    long = " ".join(prose(9, 200) for _ in range(30)) + " zzgrob idiot qqnast"
+    rows += [("long", long, "s")] + [("again", "the same text of the same row", "s")] * 200
+    docs = spark.createDataFrame(rows, "doc_id string, text string, source string")
+    labels = spark.createDataFrame([(f"d{i}", y) for i, (_, y) in enumerate(toxic_corpus(400, 3))] + [("long", 1), ("again", 0)], "doc_id string, toxic int")
+    chosen = toxicity.sample(docs, labels).collect()
+    assert len({r["key"] for r in chosen}) == len(chosen) <= 402 and max(len(r["text"]) for r in chosen if r["key"] != "long") < len(long)
+    got = {r["doc_id"]: r["score"] for r in toxicity.toxicity(docs, labels).collect()}
+    assert all(0 <= s <= 1 for s in got.values())
+    few = toxicity.toxicity(docs, labels.limit(30))
+    assert few.filter("score < 0 or score > 1").count() == 0 and few.count() == len(rows)
+    graded = {r["doc_id"]: r["kept"] for r in quality.quality(docs, sample_rows=50).collect()}
+    assert len(graded) == 402
+
+
+def test_recall_of_the_hashing():
+    from millwright.llm import vector_dedup
+
+    r = np.random.default_rng(4)
+    a = r.normal(size=(4000, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b = r.normal(size=(4000, 64))
+    b -= (a * b).sum(axis=1, keepdims=True) * a
+    b /= np.linalg.norm(b, axis=1, keepdims=True)
+    hasher = vector_dedup.Hasher(64)
+    for cosine, least in ((0.93, 0.99), (0.96, 0.999)):
+        near = cosine * a + np.sqrt(1 - cosine**2) * b
+        assert (hasher(a) == hasher(near)).any(axis=1).mean() >= least
