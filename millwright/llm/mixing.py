@@ -212,8 +212,8 @@ def mixed_documents(docs: DataFrame, seed: str = "mix", **options) -> DataFrame:
         kind = docs.schema["n_chars"].dataType
         out["n_chars"] = F.when(whole_doc, F.col("doc.n_chars")).otherwise(F.length("cut").cast(kind)).alias("n_chars")
     spark = docs.sparkSession
-    last = order.agg(F.max("slot")).first()[0] or 0
+    n = max(order.count(), 1)  # the few slots owed to sources come after the n-th
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     w = w.select("slot", "at", F.struct(*[out[c] for c in columns]).alias("row"))
-    w = w.repartitionById(parts, F.floor(F.col("slot") * parts / (last + 1)).cast("int")).sortWithinPartitions("slot", "at")
+    w = w.repartitionById(parts, F.least(F.floor(F.col("slot") * parts / n), F.lit(parts - 1)).cast("int")).sortWithinPartitions("slot", "at")
     return w.select(*[F.col(f"row.`{c}`") for c in columns])
