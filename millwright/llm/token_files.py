@@ -28,6 +28,8 @@ from .tokens import encoder, text_slices
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 0
+#: Chunks whose ids a worker keeps; 16-bit ids take little room.
+CACHE_CHUNKS = 900_000
 LENGTH = 2048
 ROWS = 256
 
@@ -175,7 +177,7 @@ def write_tokens(docs: DataFrame, folder: str, vocabulary: str | None = None, en
         from pyspark import TaskContext
         from pyspark.sql.pandas.types import to_arrow_type
 
-        part, encode, out = TaskContext.get().partitionId(), encoder(path, leading=True, width=width), None
+        part, encode, out = TaskContext.get().partitionId(), encoder(path, leading=True, width=width, cache_entries=CACHE_CHUNKS), None
         end, uri = np.array([end_id], f"<u{width}").tobytes(), f"{folder}/part-{part:06d}.arrows"
         for ids, texts in text_slices(batches):
             out = out or Writer(uri, length, rows, width, to_arrow_type(id_type))

@@ -129,9 +129,9 @@ class Encoder:
         return [self.whole(t or "") if row is None else b"".join(map(here.__getitem__, row)) for t, row in zip(texts, chunks, strict=True)]
 
 
-def encoder(path: str, leading: bool, width: int = 4) -> Encoder:
+def encoder(path: str, leading: bool, width: int = 4, cache_entries: int = 600_000) -> Encoder:
     """The encoder of this Python worker, whose cache serves all its tasks."""
-    return held(("encoder", path, leading, width), lambda: Encoder(path, leading, width))
+    return held(("encoder", path, leading, width, cache_entries), lambda: Encoder(path, leading, width, cache_entries))
 
 
 def text_slices(batches, rows: int = 1024, size: int = 4 << 20):
