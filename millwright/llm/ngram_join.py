@@ -311,19 +311,39 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from rows(*held, done)
 
 
+def _bits(lists: pa.ChunkedArray) -> list[int]:
+    """Each list of one table as a set of bits; an element that only one list holds has no bit."""
+    column = lists.combine_chunks()
+    flat, at = column.flatten().to_numpy(zero_copy_only=False), np.cumsum(np.append(0, column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)))
+    _, place, times = np.unique(flat, return_inverse=True, return_counts=True)
+    bit = np.cumsum(times > 1) - 1
+    out = []
+    for lo, hi in zip(at[:-1], at[1:], strict=True):
+        of = place[lo:hi]
+        on = np.zeros(int(bit[-1]) + 1 if len(bit) else 0, bool)
+        on[bit[of[times[of] > 1]]] = True
+        out.append(int.from_bytes(np.packbits(on, bitorder="little").tobytes(), "little"))
+    return out
+
+
 def _across(percent: int):
     """Groups of one matrix row, or of two blocks of it, to the pairs of unlike components that may link.
 
-    Pairs are formed and bounded here, and only what the bitmaps leave is passed on.
+    ``before`` holds the smaller shingles of the group's other open rows. Groups
+    that meet in several rows are a pair in the first of these only, so each pair
+    is formed and bounded once; only what the bitmaps leave is passed on.
     """
 
     def run(row: pa.Table) -> pa.Table:
         gid, part, side = (row.column(c).to_pylist() for c in ("gid", "part", "side"))
         sets = [[(m["n"], m["bits"]) for m in own] for own in row.column("members").to_pylist()]
+        before = _bits(row.column("before"))
         two, found = any(side), []
         for i in range(len(gid)):
             for j in range(i):
-                if part[i] != part[j] and (not two or side[i] != side[j]) and any(may_link(n, a, m, b, percent) for n, a in sets[i] for m, b in sets[j]):
+                if part[i] == part[j] or (two and side[i] == side[j]) or before[i] & before[j]:
+                    continue
+                if any(may_link(n, a, m, b, percent) for n, a in sets[i] for m, b in sets[j]):
                     found.append((min(gid[i], gid[j]), max(gid[i], gid[j])))
         g, h = zip(*found, strict=True) if found else ((), ())
         return pa.table({"g": pa.array(g, pa.int64()), "h": pa.array(h, pa.int64())})
@@ -519,8 +539,10 @@ def set_components(texts: DataFrame, owners: DataFrame, sketch, words: int, perc
     blocks = F.ceil(F.col("n") / ROW_BLOCK).cast("int")
     cells = entries.withColumn("own", F.pmod(F.xxhash64("gid"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     cells = cells.withColumns({"lo": F.least("own", "other"), "hi": F.greatest("own", "other")}).withColumn("side", (F.col("own") != F.col("lo")).cast("int"))
-    cells = cells.join(marks(entries.select("gid").distinct()), "gid").select("token", "lo", "hi", "gid", "part", "side", "members")
-    across = cells.groupBy("token", "lo", "hi").applyInArrow(_across(percent), "g long, h long").distinct()
+    rows_of = entries.groupBy("gid").agg(F.collect_list("token").alias("tokens"))
+    cells = cells.join(marks(entries.select("gid").distinct()), "gid").join(rows_of, "gid")
+    cells = cells.withColumn("before", F.filter("tokens", lambda t: t < F.col("token"))).select("token", "lo", "hi", "gid", "part", "side", "members", "before")
+    across = cells.groupBy("token", "lo", "hi").applyInArrow(_across(percent), "g long, h long")
     parts = merged_components(parts, opened(across))
     at = members.groupBy("sid").agg(F.min("gid").alias("gid")).join(owners, "sid")
     named = at.join(parts.withColumnRenamed("node", "gid"), "gid", "left").select("sid", "first", F.coalesce("component", "gid").alias("part"))

@@ -266,15 +266,29 @@ def test_linked_sets_share_rare_shingles(a, more, drop, seed):
     assert len(common) >= min(ngram_join.least_shared(len(x)), ngram_join.least_shared(len(y)))
 
 
-@pytest.mark.parametrize("leads", [1, 2])
-def test_long_matrix_rows(spark, monkeypatch, leads):
+@pytest.mark.parametrize("leads, block", [(1, 1024), (2, 1024), (1, 8)])
+def test_long_matrix_rows(spark, monkeypatch, leads, block):
     monkeypatch.setattr(ngram_join, "LEADS", leads)
+    monkeypatch.setattr(ngram_join, "ROW_BLOCK", block)
     passage = prose(71, 40)
     rows = [(k, passage + " " + prose(600 + k // 2, 11), "s") for k in range(60)]
     got = ngram_join.shingle_components(documents(spark, rows).repartition(4))
     assert sorted((tuple(r) for r in got.collect()), key=repr) == brute_components(rows)
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.sets(st.integers(-9, 9), min_size=1), min_size=2, max_size=8))
+def test_groups_meet_in_one_row(tokens_of):
+    met = []
+    for token in range(-9, 10):
+        here = [g for g, own in enumerate(tokens_of) if token in own]
+        bits = ngram_join.parity(np.arange(8, dtype=np.uint64))
+        row = [{"gid": g, "part": g, "side": 0, "members": [{"sid": g, "n": 8, "bits": bits}], "before": [t for t in tokens_of[g] if t < token]} for g in here]
+        schema = pa.schema([("gid", pa.int64()), ("part", pa.int64()), ("side", pa.int32()), ("members", pa.list_(pa.struct([("sid", pa.int64()), ("n", pa.int32()), ("bits", pa.binary())]))), ("before", pa.list_(pa.int64()))])
+        met += [(r["g"], r["h"]) for r in ngram_join._across(75)(pa.Table.from_pylist(row, schema)).to_pylist()]
+    assert sorted(met) == [(g, h) for g in range(len(tokens_of)) for h in range(g + 1, len(tokens_of)) if tokens_of[g] & tokens_of[h]]
+
+
 def test_components_merge_with_unknown_nodes(spark):
     parts = spark.createDataFrame([(1, 1), (2, 1), (5, 5), (6, 5)], "node long, component long")
     edges = spark.createDataFrame([(2, 9), (9, 8), (20, 21)], "u long, v long")
