@@ -6,6 +6,8 @@ buckets and over them, so no window holds all distinct scores.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -57,17 +59,25 @@ def ranking_metrics(rows: DataFrame) -> DataFrame:
     )
 
 
+def _off_values(edges: list[float]) -> list[float]:
+    """Sorted edges, each a little above its value, so that the last bits of a value computed again do not change its bucket."""
+    least = min((abs(e) for e in edges if e and math.isfinite(e)), default=1.0)
+    return [e + (abs(e) or least) * 2.0**-33 for e in edges]
+
+
 def exact_percentiles(rows: DataFrame, probabilities: list[float], buckets: int = 256) -> DataFrame:
     """(key, p, value): percentiles of ``value`` per ``key``, linearly interpolated and exact.
 
     Ranks are taken in two levels, within buckets cut at approximate quantiles and
     over them, so no task holds all values of a key. Nulls do not count; a key
-    without values gives no row.
+    without values gives no row. The edges are computed here and once: their sketch
+    depends on the order of its rows, and both levels must cut alike.
     """
     own = rows.filter("value is not null").groupBy("key", "value").agg(F.count("*").alias("n"))
-    edges = F.array_distinct(F.percentile_approx("value", [i / buckets for i in range(1, buckets)], 10 * buckets))
-    cuts = own.groupBy("key").agg(F.sum("n").alias("total"), edges.alias("edges"))
-    own = own.join(cuts, "key").withColumn("bucket", _place(F.col("value"), F.col("edges")))
+    edges = F.array_distinct(F.percentile_approx(F.col("value").cast("double"), [i / buckets for i in range(1, buckets)], 10 * buckets))
+    found = own.groupBy("key").agg(F.sum("n").alias("total"), edges.alias("edges"))
+    cuts = rows.sparkSession.createDataFrame([(r["key"], r["total"], _off_values(r["edges"])) for r in found.collect()], found.schema)
+    own = own.join(F.broadcast(cuts), "key").withColumn("bucket", _place(F.col("value"), F.col("edges")))  # a row per key, of bounded length
     inside = Window.partitionBy("key", "bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     own = own.select("key", "bucket", "value", "n", "total", F.sum("n").over(inside).alias("upto"))
     bases = own.groupBy("key", "bucket").agg(F.max("upto").alias("in_bucket"))

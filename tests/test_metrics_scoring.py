@@ -125,3 +125,17 @@ def test_curve_of_many_scores(spark):
     assert len(curve) == 101 and curve[0]["flagged"] == 5000 and curve[-1]["flagged"] == 0
     for point in curve[::10]:
         assert point["flagged"] == sum(i / 5000 >= point["threshold"] for i in range(5000))
+
+
+def test_percentiles_are_exact_beyond_the_sketch(spark):
+    import numpy as np
+
+    rows = spark.range(60_000, numPartitions=8).selectExpr("0 AS key", "sin(id) * id AS value")
+    values = [r["value"] for r in rows.collect()]
+    for g in metrics.exact_percentiles(rows, [0.0, 0.1, 0.5, 0.99, 1.0]).collect():
+        assert np.isclose(g["value"], np.quantile(values, g["p"]), rtol=1e-12)
+
+
+def test_edges_lie_between_values():
+    edges = metrics._off_values([-2.0, -1e-9, 0.0, 3.0, math.inf])
+    assert edges == sorted(edges) and all(e > v for e, v in zip(edges[:-1], [-2.0, -1e-9, 0.0, 3.0], strict=True)) and edges[-1] == math.inf
