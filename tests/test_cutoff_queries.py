@@ -12,7 +12,7 @@ from .test_catalogue import plain
 SOURCE = "/root/testdata/sf0.1/events.parquet"
 COPIES = f"""SELECT event_id + i * 100000 AS event_id, ts, user_id + i * 1500 AS user_id, event_type, value * (1 + 0.0001 * i) AS value, props
     FROM '{SOURCE}', range(6) r(i)"""
-QUERIES = ["cost_curve", "operating_point_nearest", "recall_at_far", "performance_confusion", "risk_bands", "score_summary"]
+QUERIES = ["cost_curve", "operating_point_nearest", "recall_at_far", "performance_confusion", "risk_bands", "score_summary", "work_orders"]
 
 
 @pytest.fixture(scope="module")
