@@ -32,6 +32,8 @@ END_ID = 0
 CACHE_CHUNKS = 900_000
 LENGTH = 2048
 ROWS = 256
+#: Texts encoded at once, and their characters: the more, the fewer distinct chunks are looked up for each.
+TEXTS, SIZE = 3072, 12 << 20
 
 
 def _open_store(uri: str):
@@ -179,7 +181,7 @@ def write_tokens(docs: DataFrame, folder: str, vocabulary: str | None = None, en
 
         part, encode, out = TaskContext.get().partitionId(), encoder(path, leading=True, width=width, cache_entries=CACHE_CHUNKS), None
         end, uri = np.array([end_id], f"<u{width}").tobytes(), f"{folder}/part-{part:06d}.arrows"
-        for ids, texts in text_slices(batches):
+        for ids, texts in text_slices(batches, TEXTS, SIZE):
             out = out or Writer(uri, length, rows, width, to_arrow_type(id_type))
             for doc_id, raw in zip(ids, encode(texts), strict=True):
                 out.add(doc_id, raw + end)

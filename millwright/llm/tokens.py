@@ -12,12 +12,14 @@ import os
 import re
 
 import numpy as np
+import pyarrow as pa
 
 from .common import held
 
 #: The characters with the Unicode property White_Space.
 _WS = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-
+#: Those beyond ASCII in UTF-8.
+_WS_LONG = [c.encode() for c in "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"]
 
 _MARKS = ".,;:!?#$%&*()|\"-+=/@^~"
 #: Stands between parts that are encoded in one string; parts that hold it are encoded alone.
@@ -115,9 +117,15 @@ class Encoder:
         chunks come early, so a full cache keeps what it has; if misses keep
         coming it starts afresh.
         """
-        folded = [(t or "").lower() if self._folds and not _UNSAFE(t or "") else t or "" for t in texts]
+        if not self._folds:
+            return self._in_columns(texts)
+        folded = [(t or "").lower() if not _UNSAFE(t or "") else t or "" for t in texts]
         chunks = [None if self._added(t) else self._split(t) for t in folded]
-        distinct = set().union(*[row for row in chunks if row is not None])
+        here = self._known(set().union(*[row for row in chunks if row is not None]))
+        return [self.whole(t or "") if row is None else b"".join(map(here.__getitem__, row)) for t, row in zip(texts, chunks, strict=True)]
+
+    def _known(self, distinct) -> dict[str, bytes]:
+        """Ids of distinct chunks, from the cache or made."""
         here = dict(zip(distinct, map(self._cache.get, distinct), strict=True))
         missing = [chunk for chunk, ids in here.items() if ids is None]
         if len(self._cache) >= self._most:
@@ -126,7 +134,44 @@ class Encoder:
                 self._cache.clear()
                 self._missed = 0
         here.update(self._missing(missing))
-        return [self.whole(t or "") if row is None else b"".join(map(here.__getitem__, row)) for t, row in zip(texts, chunks, strict=True)]
+        return here
+
+    def _in_columns(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each text whose chunks keep their white space: cut, told apart and put together as columns."""
+        whole = {i: self.whole(t) for i, t in enumerate(texts) if t and self._added(t)}
+        raw = [b"" if i in whole or not t else t.encode() for i, t in enumerate(texts)]
+        ends = np.cumsum([len(r) for r in raw], dtype=np.int64)
+        data = b"".join(raw)
+        if not data:
+            return [whole.get(i, b"") for i in range(len(texts))]
+        begins = ends - [len(r) for r in raw]
+        at = chunk_starts(data, begins[begins < ends])
+        chunks = pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(np.append(at, len(data))), pa.py_buffer(data)).dictionary_encode()
+        distinct = chunks.dictionary.to_numpy(zero_copy_only=False).tolist()
+        known = self._known(distinct)
+        out = pa.array(list(map(known.__getitem__, distinct)), pa.large_binary()).take(chunks.indices)
+        _, bounds, ids = out.buffers()
+        bounds = np.frombuffer(bounds, np.int64, len(at) + 1)
+        ids = memoryview(ids if ids is not None else b"")
+        cuts = bounds[np.searchsorted(at, np.append(begins, len(data)))].tolist()
+        return [whole[i] if i in whole else bytes(ids[lo:hi]) for i, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:], strict=True))]
+
+
+def chunk_starts(data: bytes, begins: np.ndarray) -> np.ndarray:
+    """Where chunks begin in UTF-8 texts that stand end to end: at each text, and at white space after anything else."""
+    codes = np.frombuffer(data, np.uint8)
+    space = (codes == 32) | ((codes - np.uint8(9)) < 5)
+    leads = np.flatnonzero((codes == 0xC2) | ((codes - np.uint8(0xE1)) < 3))
+    for c in _WS_LONG if len(leads) else ():
+        here = leads[codes[leads] == c[0]]
+        for k in range(1, len(c)):
+            here = here[codes[here + k] == c[k]]
+        for k in range(len(c)):
+            space[here + k] = True
+    edge = space.copy()
+    edge[1:] &= ~space[:-1]
+    edge[begins] = True
+    return np.flatnonzero(edge)
 
 
 def encoder(path: str, leading: bool, width: int = 4, cache_entries: int = 600_000) -> Encoder:

@@ -483,3 +483,30 @@ def test_warc_checks(tmp_path):
         open(path, "wb").write(cut)
         with pytest.raises(warc.WarcError):
             list(warc.read_archive(path))
+
+
+SPACES = " \t\n\x0b\x0c\r\x1c\x1f\x85\xa0\u1680\u180e\u2000\u2005\u200a\u200b\u2028\u2029\u202f\u205f\u2060\u3000\ufeff"
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(alphabet=SPACES + "aé€あ\U0001f600", max_size=12), max_size=8))
+def test_chunks_are_those_of_the_pattern(texts):
+    raw = [t.encode() for t in texts]
+    ends = np.cumsum([len(r) for r in raw], dtype=np.int64)
+    begins = ends - [len(r) for r in raw] if raw else np.empty(0, np.int64)
+    data = b"".join(raw)
+    if data:
+        at = [*tokens.chunk_starts(data, begins[begins < ends]).tolist(), len(data)]
+        whole = re.compile(rf"[{tokens._WS}]*[^{tokens._WS}]+|[{tokens._WS}]+").findall
+        assert [data[a:b].decode() for a, b in zip(at[:-1], at[1:], strict=True)] == [c for t in texts for c in whole(t)]
+
+
+def test_texts_are_encoded_without_a_search_per_chunk():
+    """Chunks are cut, told apart and put together as columns, a few steps a call."""
+    import public_tokenizers
+
+    e = tokens.Encoder(public_tokenizers.path(token_files.VOCABULARY), leading=True)
+    texts = [prose(k, 200) + SPACES + "é　 x." for k in range(20)] + [None, "", "\n", "a<|endoftext|> b"]
+    e._split = None  # the pattern that would be searched text by text
+    assert e(texts) == [e.whole(t or "") for t in texts]
+    assert e([]) == [] and e([None, ""]) == [b"", b""] and e(["<|endoftext|>"]) == [e.whole("<|endoftext|>")]
