@@ -15,6 +15,10 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 
+#: Hadoop's checksum layer starts a chmod process for each local file and each checksum beside it, twice for
+#: every part of a scratch table; a process that a JVM is starting counts as large as that JVM. Other stores ignore this.
+_PLAIN_FILES = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
+
 _OWN_DIRS: dict[str, str] = {}
 _ROOTS: dict[str, str] = {}
 
@@ -71,7 +75,7 @@ def stored(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
     """Like ``materialise``, with the path, for tables that can be dropped early."""
     spark = df.sparkSession
     path = scratch_path(spark, tag)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.options(compression="zstd", **_PLAIN_FILES).parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 

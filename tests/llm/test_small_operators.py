@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import random
 import re
 import zlib
@@ -13,7 +14,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from millwright.llm import exact_dedup, mixing, ngram_join, packing, token_files, tokens, vector_dedup, warc
+from millwright.llm import common, exact_dedup, mixing, ngram_join, packing, token_files, tokens, vector_dedup, warc
 from millwright.llm.components import connected_components, merged_components
 from millwright.llm.shingles import Shingler
 
@@ -510,3 +511,11 @@ def test_texts_are_encoded_without_a_search_per_chunk():
     e._split = None  # the pattern that would be searched text by text
     assert e(texts) == [e.whole(t or "") for t in texts]
     assert e([]) == [] and e([None, ""]) == [b"", b""] and e(["<|endoftext|>"]) == [e.whole("<|endoftext|>")]
+
+
+def test_scratch_tables_are_plain_files(spark):
+    """No checksum file and so no helper process for each part of a scratch table."""
+    df, path = common.stored(spark.range(100).repartition(3), "plain")
+    names = os.listdir(path.removeprefix("file://"))
+    assert df.count() == 100 and sum(n.startswith("part-") for n in names) == 3
+    assert not [n for n in names if n.endswith(".crc")]
