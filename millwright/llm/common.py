@@ -5,9 +5,11 @@ from __future__ import annotations
 import atexit
 import contextlib
 import ctypes
+import functools
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -106,8 +108,24 @@ def release() -> None:
         trim()
 
 
+def tidy(run):
+    """``run``, a function from batches to batches, in a worker that holds no cache and gives its memory back at the end.
+
+    Workers stay while other tasks run, and keep what their allocators have not returned.
+    """
+
+    @functools.wraps(run)
+    def tidied(batches):
+        release()
+        yield from run(batches)
+        trim()
+
+    return tidied
+
+
 def trim() -> None:
-    """Gives freed memory of this process back to the system, where the C library can."""
+    """Gives freed memory of this process back to the system: Arrow's pool, and the C library's where it can."""
+    pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):
         ctypes.CDLL(None).malloc_trim(0)
 

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialise
+from .common import materialise, tidy
 
 MEMORY_BYTES = 96 << 20
 FANOUT = 16
@@ -225,10 +225,10 @@ def _passes(docs: DataFrame, extra: list[str], memory: int) -> tuple[DataFrame,
     own = [f"c{i}" for i in range(2 + len(extra))]
     schema = T.StructType([T.StructField(n, k) for n, k in zip(names, kinds, strict=True)] + [T.StructField(n, docs.schema[c].dataType) for n, c in zip(own, ["doc_id", "text", *extra], strict=True)])
     rows = docs.select("doc_id", "text", *[f"`{c}`" for c in extra])
-    first = materialise(rows.mapInArrow(_local(len(extra), to_arrow_schema(schema), memory), schema), "grace")
+    first = materialise(rows.mapInArrow(tidy(_local(len(extra), to_arrow_schema(schema), memory)), schema), "grace")
     final = T.StructType([T.StructField("pid", T.LongType()), T.StructField("slot", T.LongType()), T.StructField("keep_id", kinds[2]), T.StructField("keep_pid", T.LongType()), T.StructField("keep_place", T.LongType()), T.StructField("group_size", T.LongType()), T.StructField("sha", T.StringType())])
     reps = first.filter("digest is not null").select("pid", "slot", "doc", "place", "n", "digest", "c1").repartition(F.col("digest"))
-    return first, reps.mapInArrow(_global(to_arrow_schema(final), memory), final), own
+    return first, reps.mapInArrow(tidy(_global(to_arrow_schema(final), memory)), final), own
 
 
 def exact_duplicates(docs: DataFrame, memory: int = MEMORY_BYTES) -> DataFrame:

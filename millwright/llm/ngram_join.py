@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import drop_scratch, materialise, release, stored
+from .common import drop_scratch, materialise, stored, tidy
 from .components import connected_components, merged_components
 from .shingles import Shingler, overlap, set_id
 from .tokens import text_slices
@@ -83,7 +83,6 @@ def _profile(words: int):
     """(doc_id, text) to one row per document, and the task's sketch in slices."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release()
         shingler, cells = Shingler(words), np.zeros(1 << CELL_BITS, np.uint32)
         block, size, any_row = [], 0, False
         for ids, texts in text_slices(batches):
@@ -122,7 +121,7 @@ def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _sketch(profile: DataFrame) -> np.ndarray:
     """The sketch of all documents: 2^CELL_BITS counts, whatever the size of the input."""
-    parts = profile.filter("piece is not null").select("piece", "blob").repartition(SLICES, "piece").mapInArrow(_added, "piece int, blob binary")
+    parts = profile.filter("piece is not null").select("piece", "blob").repartition(SLICES, "piece").mapInArrow(tidy(_added), "piece int, blob binary")
     out = np.zeros((SLICES, (1 << CELL_BITS) // SLICES), np.uint32)
     for row in parts.collect():
         out[row[0]] = np.frombuffer(zlib.decompress(bytes(row[1])), "<u4")
@@ -387,7 +386,7 @@ def _filtered(texts: DataFrame, ids: DataFrame) -> DataFrame:
     bitmap[found.w.to_numpy(np.int64)] = found.v.to_numpy(np.int64).astype("<u4")
     held = texts.sparkSession.sparkContext.broadcast(bitmap.view(np.uint8))
     rows = texts.filter("doc_id is not null").select(place.alias("p"), "doc_id", "text")
-    return rows.mapInArrow(_asked_only(held), "doc_id long, text string")
+    return rows.mapInArrow(tidy(_asked_only(held)), "doc_id long, text string")
 
 
 def group_link(a: dict[int, np.ndarray], b: dict[int, np.ndarray], percent: int = PERCENT) -> tuple[int, int] | None:
@@ -462,7 +461,7 @@ def shingle_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     """
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    profile = materialise(texts.mapInArrow(_profile(words), "doc_id long, n long, sid long, piece int, blob binary"), "profile")
+    profile = materialise(texts.mapInArrow(tidy(_profile(words)), "doc_id long, n long, sid long, piece int, blob binary"), "profile")
     rows = profile.filter("piece is null").select("doc_id", "n", "sid")
     known = rows.filter("doc_id is not null and sid is not null")
     owners = known.groupBy("sid").agg(F.min("doc_id").alias("first"))
@@ -485,8 +484,8 @@ def one_per_component(docs: DataFrame, words: int = WORDS, percent: int = PERCEN
 
 def set_components(texts: DataFrame, owners: DataFrame, sketch, words: int, percent: int) -> DataFrame:
     """sid, component_id: the smallest doc_id of the component of each set; ``owners`` has sid, first (doc_id)."""
-    made = texts.mapInArrow(_group(words, percent, sketch), ROWS)
-    made = made.repartition("a").sortWithinPartitions("a", "b").mapInArrow(_shared, SHARED)
+    made = texts.mapInArrow(tidy(_group(words, percent, sketch)), ROWS)
+    made = made.repartition("a").sortWithinPartitions("a", "b").mapInArrow(tidy(_shared), SHARED)
     made = materialise(made, "matrix")
     members = made.filter("kind = 1").select(F.col("a").alias("gid"), F.col("b").alias("sid"), "n", "bits")
     inside = made.filter("kind = 2").select(F.col("a").alias("u"), F.col("b").alias("v"))
@@ -504,7 +503,7 @@ def set_components(texts: DataFrame, owners: DataFrame, sketch, words: int, perc
         return members.join(asked, "gid").groupBy("gid").agg(F.collect_list(F.struct("sid", "n", "bits")).alias("members"))
 
     def bounded(pairs: DataFrame) -> DataFrame:
-        return both_sides(pairs, marks(groups(pairs))).mapInArrow(_bounded(percent), "g long, h long")
+        return both_sides(pairs, marks(groups(pairs))).mapInArrow(tidy(_bounded(percent)), "g long, h long")
 
     def opened(pairs: DataFrame) -> DataFrame:
         """Links (gid, gid) found in pairs of groups that bitmaps do not rule out."""
@@ -512,7 +511,7 @@ def set_components(texts: DataFrame, owners: DataFrame, sketch, words: int, perc
         where, where_path = stored(members.select("gid", "sid").join(groups(left), "gid").join(owners, "sid").select("gid", "sid", F.col("first").alias("doc_id")), "asked")
         load = where.join(_filtered(texts, where), "doc_id").groupBy("gid").agg(F.collect_list(F.struct("sid", "text")).alias("members"))
         load, load_path = stored(load, "members")
-        found = materialise(both_sides(left, load).mapInArrow(_open(words, percent), "u long, v long"), "found")
+        found = materialise(both_sides(left, load).mapInArrow(tidy(_open(words, percent)), "u long, v long"), "found")
         for path in (left_path, where_path, load_path):
             drop_scratch(texts.sparkSession, path)
         return found

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import trim
 from .tokens import encoder, text_slices
 
 WINDOW = 2048
@@ -187,6 +188,8 @@ def pack(docs: DataFrame, window: int = WINDOW, vocabulary: str | None = None, e
                 rows, size = [], 0
         if rows:
             yield _batch(rows, out_schema)
+        del rows
+        trim()
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 

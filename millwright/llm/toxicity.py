@@ -404,6 +404,7 @@ def scores(docs: DataFrame, model: Model, below: float | None = None) -> DataFra
                 yield pa.RecordBatch.from_arrays([pair.column(0), pa.array(score)], names=["doc_id", "score"])
             else:
                 yield batch.filter(pa.array(score < below))
+        trim()
 
     rows = docs.select(*[f"`{c}`" for c in columns])
     if below is not None:

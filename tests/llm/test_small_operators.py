@@ -519,3 +519,16 @@ def test_scratch_tables_are_plain_files(spark):
     names = os.listdir(path.removeprefix("file://"))
     assert df.count() == 100 and sum(n.startswith("part-") for n in names) == 3
     assert not [n for n in names if n.endswith(".crc")]
+
+
+def test_workers_give_back_what_they_hold(monkeypatch):
+    """A tidied task begins without another operator's cache and returns memory, Arrow's too, when it ends."""
+    steps = []
+    monkeypatch.setattr(common, "trim", lambda: steps.append("trim"))
+    common.held("cache", lambda: [0])
+    out = common.tidy(lambda batches: (steps.append((b, dict(common._HELD))) or b for b in batches))(iter([1, 2]))
+    assert list(out) == [1, 2] and steps == ["trim", (1, {}), (2, {}), "trim"]
+    monkeypatch.undo()
+    monkeypatch.setattr(common.pa, "default_memory_pool", lambda: type("Pool", (), {"release_unused": lambda self: steps.append("pool")})())
+    common.trim()
+    assert steps[-1] == "pool"
